@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The report is a dated batch extract: it has no watermark, window, state or
+late data, so nothing here is a Structured Streaming job. Repeated runs for
+new cutoffs are separate batch runs that overwrite their own dated partition
+(see ``kredex.plans.publish``).
+"""
