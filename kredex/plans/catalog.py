@@ -50,11 +50,21 @@ def register(name: str, views: tuple[str, ...] | None = None, sql: str | None =
             return fn(Ctx(spark, sf_dir))
         QUERIES[name] = run
         if sql is not None:
-            ORACLE[name] = with_clause(views or ()) + sql
+            ORACLE[name] = oracle(views or (), sql)
         return run
     return deco
 
 
+def oracle(views: tuple[str, ...], sql: str) -> str:
+    """Prefix ``sql`` with the adapter views it reads, merging its own
+    ``WITH`` list if it has one."""
+    head = with_clause(views) if views else ""
+    body = sql.strip()
+    if head and body[:5].lower() == "with ":
+        return head.rstrip() + ",\n" + body[5:] + "\n"
+    return head + body + "\n"
+
+
 # Shared SQL fragments of the oracle (literal reference form).
 SPINE_SQL = """from saldos s join universe egp on s.jts_oid = egp.jts_oid
 where s.tz_lock = 0"""
