@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import catalog
-from . import report_queries  # noqa: F401  (registers queries)
+from . import extract_queries, report_queries  # noqa: F401  (register queries)
 
 
 def queries():

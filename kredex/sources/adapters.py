@@ -94,10 +94,10 @@ _add(_v("universe", "orders join customer on o_custkey = c_custkey", [
     ("desc_sucursal_prestamo", "concat('SUCURSAL ', cast(c_nationkey as varchar(20)))"),
     ("analista", "concat('ANALISTA ', cast(o_custkey % 17 as varchar(20)))"),
     ("rubro_contable", "cast(1300 + o_orderkey % 9 as decimal(15,0))"),
-    ("importe_desembolso_mo", f"cast(o_totalprice * 1.5 as {DEC2})"),
+    ("importe_desembolso_mo", f"cast(cast(o_totalprice as {DEC2}) * cast(1.5 as decimal(2,1)) as {DEC2})"),
     ("mto_ult_pago_capital", f"cast(o_orderkey % 250 as {DEC2})"),
     ("interes_moratorio_mn", f"cast(o_orderkey % 40 as {DEC2})"),
-    ("provision_mn", f"cast(o_totalprice / 100 as {DEC2})"),
+    ("provision_mn", f"cast(cast(o_totalprice as {DEC2}) * cast(0.01 as decimal(3,2)) as {DEC2})"),
     ("fecha_vencimiento", "case when o_orderkey % 11 = 0 then null else o_orderdate + interval 720 day end"),
     ("fecha_1erpago_pactado", "o_orderdate + interval 30 day"),
     ("fecha_empeso_mora_interes", "case when o_orderkey % 3 = 0 then timestamp '1900-01-01 00:00:00' when o_orderkey % 3 = 1 then null else o_orderdate end"),
