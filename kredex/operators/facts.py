@@ -198,10 +198,8 @@ def collateral_value(relacion: DataFrame, garantias: DataFrame,
     g = valid(garantias).select("nrogarantia", "gar_moneda", "gar_fecha")
     bal = (valid(saldos_garantia).where(F.col("c9314") == 1)
            .select(F.col("cuenta").alias("nrogarantia"), "c1604"))
-    rated = g.join(bal, "nrogarantia").join(
-        fx_rates.select(F.col("fecha").alias("_fx_date"),
-                        F.col("tipo_cambio").alias("_fx_rate")),
-        F.to_date("gar_fecha") == F.col("_fx_date"), "left")
+    from ..functions.fx import rate_by_date
+    rated = rate_by_date(g.join(bal, "nrogarantia"), "gar_fecha", fx_rates, out="_fx_rate")
     neg = -F.col("c1604")
     value = (F.when(F.col("gar_moneda") == 1, neg)
              .when(F.col("gar_moneda") == 2, neg * F.col("_fx_rate"))

@@ -302,7 +302,12 @@ class TestWorld:
         self._cache: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """One shared-table read per world: the file listing and footer read
+        happen once, and views over the same table share the scan's plan."""
+        key = f"@{name}"
+        if key not in self._cache:
+            self._cache[key] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._cache[key]
 
     def _source(self, view: View) -> DataFrame:
         if view.source == "orders join customer on o_custkey = c_custkey":
