@@ -219,6 +219,8 @@ def collateral_text(texts: DataFrame, sep: str = "; ") -> DataFrame:
     """Per loan number: collateral descriptions joined by ``sep`` in
     (order, description) order. Loans without collateral have no row; the
     report shows '' for them."""
+    if any(ch in sep for ch in "'\\"):
+        raise ValueError("the separator may not contain quotes or backslashes")
     return (texts.groupBy("nro_prestamo")
             .agg(F.expr(f"listagg(descripcion, '{sep}') within group "
                         f"(order by orden, descripcion)").alias("collateral_description")))

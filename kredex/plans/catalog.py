@@ -27,7 +27,8 @@ class Ctx:
     """Adapter tables + resolved run parameters for one call."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
+        from ..session import configure
+        self.spark = configure(spark)
         self.w = TestWorld(spark, sf_dir)
         self.p = RunParams.resolve(self.w["parametros"], self.w["maestro"], tc=CUTOFF_TC)
 

@@ -23,9 +23,10 @@ ENGINE_SQL_CONF = {
     # a join on (loan, client) may reuse the spine's partitioning on the loan
     # key alone (unique per spine row, so no skew from the coarser key)
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
-    # dated partitions of the result are replaced one at a time
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# Dated partitions of the result are replaced one at a time: the publish step
+# passes ``partitionOverwriteMode=dynamic`` on its own writes instead of
+# changing the session default for every other write.
 
 
 def configure(spark: SparkSession) -> SparkSession:
