@@ -182,3 +182,37 @@ def test_extract_invariants(spark, sf_dir):
     assert chk.where(F.abs(F.col("parts") - F.col("total")) > D("0.01")).count() == 0
     assert chk.where((F.col("Dias_mora_principal") == 0) != (F.col("n_over") == 0)).count() == 0
     _ = E
+
+
+original_rows = st.lists(st.tuples(
+    st.integers(1, 3),                               # loan
+    st.integers(1, 4),                               # instalment number
+    st.sampled_from([D("0"), D("0"), D("50")]),      # capital
+    st.sampled_from([D("0"), D("9")]),               # interest
+    st.one_of(st.none(), days),                      # due date
+    st.sampled_from([0, 0, 1])),                     # tz_lock
+    min_size=1, max_size=20)
+
+
+def brute_grace(rows, loan, disbursed):
+    """TOP 1 DATEDIFF(disbursement, due) over later capital instalments joined
+    to an interest-only first instalment, ORDER BY due ASC (NULL first)."""
+    first_io = any(x[0] == loan and x[1] == 1 and x[2] == 0 and x[3] > 0 for x in rows)
+    later = [x for x in rows if x[0] == loan and x[5] == 0 and x[2] > 0 and x[1] > 1]
+    if not first_io or not later:
+        return 0
+    best = min(later, key=lambda x: _asc_nulls_first(x[4]))
+    return 0 if best[4] is None else (best[4].date() - disbursed.date()).days
+
+
+@SETTINGS
+@given(rows=original_rows)
+def test_grace_days_equal_literal_lookup(spark, rows):
+    disbursed = CUT - dt.timedelta(days=90)
+    df = spark.createDataFrame(rows, INPUT_SCHEMAS["plan_pagos_original"])
+    o = facts.original_schedule_facts(df)
+    got = {r["jts_oid"]: r["g"] for r in
+           o.withColumn("fecha_desembolso", ntz_literal(disbursed))
+           .select("jts_oid", facts.grace_days().alias("g")).collect()}
+    for loan in {x[0] for x in rows}:
+        assert got[loan] == brute_grace(rows, loan, disbursed), loan
