@@ -20,8 +20,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import fx_factor
-
 LOAN = "jts_oid"
 
 
@@ -277,5 +275,5 @@ __all__ = [
     "LOAN", "valid", "schedule_facts", "history_facts",
     "original_schedule_facts", "grace_days", "client_facts",
     "collateral_value", "collateral_text", "coordinator",
-    "first_instalment_fees", "accruals_at", "currency_names", "fx_factor",
+    "first_instalment_fees", "accruals_at", "currency_names",
 ]

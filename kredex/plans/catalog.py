@@ -12,7 +12,6 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import facts as fx_
 from ..params import RunParams
