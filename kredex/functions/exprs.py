@@ -89,13 +89,17 @@ def fx_factor(currency: str | Column, tc: Column) -> Column:
     return F.when(col(currency) == 1, F.lit(1).cast("decimal(8,4)")).otherwise(tc)
 
 
-def effective_annual_rate(rate: str | Column) -> Column:
-    """``(POWER(1 + (r/100)/12, 12) - 1) * 100`` rounded to 4 places.
-
-    ``pow`` is double in Spark; the rounding to ``decimal(15,4)`` makes the
-    result equal to the exact decimal one except at exact ties."""
+def effective_annual_rate_raw(rate: str | Column) -> Column:
+    """``(POWER(1 + (r/100)/12, 12) - 1) * 100`` as a double (Spark's ``pow``
+    is double; T-SQL keeps the decimal base type)."""
     monthly = col(rate).cast("double") / 100.0 / 12.0
-    return ((F.pow(F.lit(1.0) + monthly, F.lit(12.0)) - 1.0) * 100.0).cast("decimal(15,4)")
+    return (F.pow(F.lit(1.0) + monthly, F.lit(12.0)) - 1.0) * 100.0
+
+
+def effective_annual_rate(rate: str | Column) -> Column:
+    """The effective annual rate rounded to 4 places; equal to the exact
+    decimal result except at exact ties of the fifth decimal."""
+    return effective_annual_rate_raw(rate).cast("decimal(15,4)")
 
 
 def rate_to_sink(c: str | Column) -> Column:

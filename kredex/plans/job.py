@@ -28,7 +28,8 @@ def run_extract(spark: SparkSession, root: str, out: str, *, tc: Decimal | str |
     p = RunParams.resolve(base["parametros"], base["maestro"],
                           fx_rates=base["tipo_cambio"], tc=tc)
     src = TableSource(spark, root, cutoff=p.cutoff.date())
-    result = build_extract(src, p, with_generated=True)
+    # quarantine: an out-of-range decimal rejects its row instead of the job
+    result = build_extract(src, p, with_generated=True, checked=(policy == "quarantine"))
     pub.publish(result, out, policy=policy, reject_path=reject_path)
     if export_path:
         pub.export_text(pub.read_partition(spark, out, p.cutoff, p.version), export_path)

@@ -15,7 +15,6 @@ import pytest
 
 from kredex.plans.job import run_extract
 from kredex.plans.publish import read_partition
-from kredex.operators.quality import QualityError
 from kredex.sources.tables import INPUT_SCHEMAS
 
 CUT = dt.datetime(2018, 10, 31)
@@ -65,8 +64,8 @@ def hist(n, kind, day, rate="0", late="0", cap="0", intr="0", mov=0, lock=0):
 
 
 def fixture_tables(saneado_12=False):
-    u = [universe_row(n) for n in range(1, 15)]
-    s = [saldo_row(n) for n in range(1, 15)]
+    u = [universe_row(n) for n in range(1, 16)]
+    s = [saldo_row(n) for n in range(1, 16)]
     # 1, 2, 13: one client; 2 in currency 2; 13 locked but counted
     for n in (1, 2, 13):
         u[n - 1]["codigo_cliente"] = 201
@@ -89,6 +88,8 @@ def fixture_tables(saneado_12=False):
     # 11: placeholder arrears date, blank modality
     u[10]["fecha_empeso_mora_capital"] = T(1900, 1, 1)
     s[10]["c1677"] = " "
+    # 15: a rate whose effective annual rate overflows decimal(15,4)
+    u[14]["tasa_interes"] = D("9999.0000")
     # 12: two disbursement rows
     if saneado_12:
         u[11]["situacion_prestamo"] = "Saneado"
@@ -111,7 +112,7 @@ def fixture_tables(saneado_12=False):
         sched(7, T(2018, 10, 31), "70", "7", "70", "7"),
         sched(8, T(2018, 11, 15), "100", "10", "100", "10"),
         sched(10, T(2018, 5, 15), "100", "10", "0", "0"),
-    ] + [sched(n, T(2018, 11, 30), "100", "10", "100", "10") for n in (3, 4, 5, 6, 9, 11, 12, 13, 14)]
+    ] + [sched(n, T(2018, 11, 30), "100", "10", "100", "10") for n in (3, 4, 5, 6, 9, 11, 12, 13, 14, 15)]
     history = [
         hist(3, "A", T(2018, 1, 15), rate="10", late="13", mov=1),
         hist(3, "S", T(2018, 5, 1), rate="11", late="15", mov=2),
@@ -138,8 +139,8 @@ def fixture_tables(saneado_12=False):
         "universe": u,
         "saldos": s,
         "miembros": [dict(fecha=CUT.date(), saldo_jts_oid=5, cod_cliente_m=301, nro_prestamo=1005)],
-        "solicitudes": [dict(c5000=5000 + n, c5231=T(2018, 1, 10)) for n in range(1, 15)],
-        "clientes": [dict(c0902=c) for c in list(range(101, 115)) + [201]],
+        "solicitudes": [dict(c5000=5000 + n, c5231=T(2018, 1, 10)) for n in range(1, 16)],
+        "clientes": [dict(c0902=c) for c in list(range(101, 116)) + [201]],
         "monedas": [dict(c6399=1, c6400="CORDOBA"), dict(c6399=2, c6400="DOLAR")],
         "historia": history,
         "plan_pagos": plan,
@@ -205,7 +206,7 @@ def test_params(published):
 
 def test_locked_loan_absent_and_group_without_coordinator_rejected(published):
     got = set(published["rows"]) | set(published["rejected"])
-    assert got == set(range(1, 15)) - {13}
+    assert got == set(range(1, 16)) - {13}
     assert 6 in published["rejected"]
     assert "null Num_Identificacion" in published["rejected"][6]
 
@@ -309,9 +310,15 @@ def test_export_text(published, spark):
     assert any(l.startswith('"111"|') and "|LOTEA|" in l for l in body)
 
 
+def test_decimal_out_of_range_is_rejected(published):
+    assert "range Tasa_efectiva_vigente" in published["rejected"][15]
+
+
 def test_strict_policy_keeps_old_partition(spark, published):
     out = f"{published['work']}/strict"
-    with pytest.raises(QualityError):
+    # strict: the NULL coordinator id fails the checks, and the overflowing
+    # rate fails its cast, as the reference's insert would
+    with pytest.raises(Exception):
         run_extract(spark, published["root"], out, policy="strict")
     assert not os.path.exists(out) or not glob.glob(f"{out}/**/*.parquet", recursive=True)
 
