@@ -45,3 +45,31 @@ def test_history_facts_partial_aggregation(spark, sf_dir):
     txt = facts.history_facts(c["historia"])._jdf.queryExecution().executedPlan().toString()
     # map-side combine before each shuffle (a hot loan is reduced per task)
     assert "partial_max_by" in txt and "partial_sum" in txt
+
+
+def test_one_scan_per_child_table(spark):
+    """On real source folders each child table is read by exactly one scan of
+    the extract plan (all its lookups are fused). The balance table is read
+    twice (loans and collateral balances) and the universe twice (spine and
+    whole-universe client totals), as in the report."""
+    import datetime as dt
+    import tempfile
+    from collections import Counter
+    from decimal import Decimal
+
+    from kredex.params import RunParams
+    from kredex.plans.extract import build_extract
+    from kredex.sources.tables import TableSource
+    from test_micro_fixture import write_fixture
+
+    root = tempfile.mkdtemp(prefix="kredex-scan-") + "/src"
+    write_fixture(spark, root)
+    src = TableSource(spark, root, cutoff=dt.date(2018, 10, 31))
+    p = RunParams(cutoff=dt.datetime(2018, 10, 31), tc=Decimal("32.1234"), version="1-0-0")
+    plan = build_extract(src, p)._jdf.queryExecution().executedPlan().toString()
+    scans = Counter(re.findall(r"Location: InMemoryFileIndex\(1 paths\)\[file:[^\]]*/src/(\w+)\]", plan))
+    for child in ("plan_pagos", "plan_pagos_original", "historia", "gastos", "devengamiento",
+                  "relacion_garantia", "garantias", "garantia_texto", "miembros",
+                  "relacion_grupo", "persona_documento", "solicitudes", "clientes", "monedas"):
+        assert scans[child] == 1, (child, scans)
+    assert scans["saldos"] == 2 and scans["universe"] == 2, scans
