@@ -203,9 +203,11 @@ def collateral_value(relacion: DataFrame, garantias: DataFrame,
              .when(F.col("gar_moneda") == 2, neg * F.col("_fx_rate"))
              .when(F.col("gar_moneda") == 3, neg * tc))
     per_collateral = rated.groupBy("nrogarantia").agg(F.sum(value).alias("v"))
-    return (valid(relacion).select("nrosolicitud", "nrogarantia")
-            .join(per_collateral, "nrogarantia")
-            .groupBy("nrosolicitud")
+    # a collateral pledged to many applications is split over salts
+    from .skew import split_hot_keys
+    pledged = split_hot_keys(valid(relacion).select("nrosolicitud", "nrogarantia"),
+                             per_collateral, ["nrogarantia"], "inner", id_cols=["nrosolicitud"])
+    return (pledged.groupBy("nrosolicitud")
             .agg(F.sum("v").alias("collateral_value")))
 
 

@@ -53,3 +53,23 @@ def test_hot_client_totals(spark):
     hot = cf.where("codigo_cliente = 7").collect()[0]
     assert hot["loans_per_client"] == 1000
     assert hot["client_debt"] == D("10000.00")
+
+
+def test_split_hot_keys_equals_plain_join(spark):
+    from kredex.operators.skew import split_hot_keys
+    big = spark.createDataFrame(
+        [(i, 7 if i % 3 == 0 else (None if i % 11 == 0 else i % 50)) for i in range(3000)],
+        "id bigint, k bigint")
+    per_key = spark.createDataFrame([(k, f"v{k}") for k in range(0, 40)], "k bigint, v string")
+    def rows(df):
+        return sorted((tuple(r) for r in df.select("k", "id", "v").collect()), key=repr)
+
+    for how in ("inner", "left"):
+        split = split_hot_keys(big, per_key, ["k"], how, id_cols=["id"], rows_per_task=100)
+        assert rows(split) == rows(big.join(per_key, ["k"], how))
+        assert split.where("k = 7").count() == big.where("k = 7").count()
+    # the hot key (1,037 rows) is spread over ceil(1037 / 100) = 11 salts
+    from kredex.operators.skew import COUNT, hot_keys
+    from pyspark.sql import functions as F
+    counts = big.groupBy("k").agg(F.count(F.lit(1)).alias(COUNT))
+    assert [tuple(r) for r in hot_keys(counts, ["k"], 100).collect()] == [(7, 11)]
