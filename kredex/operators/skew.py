@@ -18,6 +18,7 @@ partitions that side. For those joins the hot keys are split explicitly:
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,13 @@ SALTS = "_salts"
 COUNT = "_n"
 
 
+def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per key (a key-only aggregate, combined map-side). Counting on a
+    superset of the join's large side gives an upper bound, which is all the
+    salting needs."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(COUNT))
+
+
 def hot_keys(counts: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """(keys..., _salts) for the keys whose large-side count (column ``_n``)
     needs more than one task."""
@@ -55,8 +63,11 @@ def split_hot_keys(large: DataFrame, per_key: DataFrame, keys: list[str], how: s
     if how not in ("inner", "left"):
         raise ValueError("split_hot_keys supports inner and left joins")
     if counts is None:
-        counts = large.groupBy(*keys).agg(F.count(F.lit(1)).alias(COUNT))
-    hot = bounded_broadcast(hot_keys(counts, keys, rows_per_task), MAX_HOT_KEYS)
+        counts = key_counts(large, keys)
+    # the list is small and bounded: kept after the size check's job, so the
+    # join reads it instead of recounting (lost blocks are recomputed)
+    hot = hot_keys(counts, keys, rows_per_task).persist(StorageLevel.MEMORY_AND_DISK)
+    hot = bounded_broadcast(hot, MAX_HOT_KEYS)
     salt = F.when(F.col(SALTS).isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*[F.col(c) for c in id_cols]), F.col(SALTS)).cast("int"))
     big = large.join(hot, keys, "left").withColumn(SALT, salt).drop(SALTS)
