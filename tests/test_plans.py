@@ -82,3 +82,20 @@ def test_one_scan_per_child_table(spark):
                   "relacion_grupo", "persona_documento", "solicitudes", "clientes", "monedas"):
         assert scans[child] == 1, (child, scans)
     assert scans["saldos"] == 2 and scans["universe"] == 2, scans
+
+
+def test_quarantine_split_does_not_shuffle_the_result(spark):
+    """Good and rejected rows are split by a filter: the only shuffle is the
+    key-only duplicate count, whose (checked) list is broadcast."""
+    from kredex.operators.quality import enforce
+    df = spark.range(1000).selectExpr("cast(id as decimal(15,0)) as Cod_Credito",
+                                      "case when id % 7 = 0 then null else 'x' end as Sector")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        good, rejected = enforce(df, "quarantine")
+        plan = good._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert good.count() == 1000 - 143 and rejected.count() == 143
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
