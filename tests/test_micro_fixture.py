@@ -328,3 +328,14 @@ def test_written_off_with_two_disbursements_fails(spark):
     write_fixture(spark, f"{work}/src", saneado_12=True)
     with pytest.raises(Exception, match="more than 1 value"):
         run_extract(spark, f"{work}/src", f"{work}/out", policy="quarantine")
+
+
+def test_command_line_job(spark, capsys):
+    from kredex.plans.job import main
+    work = tempfile.mkdtemp(prefix="kredex-cli-")
+    write_fixture(spark, f"{work}/src")
+    main(["--root", f"{work}/src", "--out", f"{work}/out", "--policy", "quarantine",
+          "--rejects", f"{work}/rej", "--export", f"{work}/exp", "--tc", "32.1234"])
+    assert "published cutoff 2018-10-31 version 1-0-0" in capsys.readouterr().out
+    assert glob.glob(f"{work}/out/Interno_FechaCorte=*/Interno_ControlVersion=1-0-0/*.parquet")
+    assert glob.glob(f"{work}/exp/part-*")
