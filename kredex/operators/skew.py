@@ -6,8 +6,9 @@ collateral values) do not qualify: the aggregate's own shuffle already
 partitions that side. For those joins the hot keys are split explicitly:
 
 1. Keys whose row count on the large side exceeds ``rows_per_task`` are hot.
-   There are at most ``rows(large) / rows_per_task`` of them, so the list is
-   small; it is broadcast only after that size is checked.
+   There are at most ``rows(large) / rows_per_task`` of them; the broadcast
+   list is moreover capped at the ``MAX_HOT_KEYS`` hottest ones (a proven
+   size bound, no extra job).
 2. The large side's rows of a hot key are spread over
    ``ceil(count / rows_per_task)`` salts (a hash of the row's id columns);
    other keys take salt 0.
@@ -18,12 +19,9 @@ partitions that side. For those joins the hot keys are split explicitly:
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fx import bounded_broadcast
-
 ROWS_PER_TASK = 2_000_000
 MAX_SALTS = 4096
 MAX_HOT_KEYS = 200_000
@@ -64,10 +62,13 @@ def split_hot_keys(large: DataFrame, per_key: DataFrame, keys: list[str], how: s
         raise ValueError("split_hot_keys supports inner and left joins")
     if counts is None:
         counts = key_counts(large, keys)
-    # the list is small and bounded: kept after the size check's job, so the
-    # join reads it instead of recounting (lost blocks are recomputed)
-    hot = hot_keys(counts, keys, rows_per_task).persist(StorageLevel.MEMORY_AND_DISK)
-    hot = bounded_broadcast(hot, MAX_HOT_KEYS)
+    # Bounded by construction: the hottest MAX_HOT_KEYS keys in a total
+    # order (both join sides must see the same list). A hot key left out
+    # simply takes salt 0 on both sides: the join stays exact.
+    hot = (hot_keys(counts, keys, rows_per_task)
+           .orderBy(F.col(SALTS).desc(), *[F.col(k).asc() for k in keys])
+           .limit(MAX_HOT_KEYS))
+    hot = F.broadcast(hot)
     salt = F.when(F.col(SALTS).isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*[F.col(c) for c in id_cols]), F.col(SALTS)).cast("int"))
     big = large.join(hot, keys, "left").withColumn(SALT, salt).drop(SALTS)
