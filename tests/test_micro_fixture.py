@@ -161,6 +161,13 @@ def fixture_tables(saneado_12=False):
             dict(saldo_jts_oid=2, fecha=CUT, interes_deveng_vigente_cont=D("1.00"),
                  interes_deveng_vencido_cont=D("1.00"), mora_tasa_int_deveng_venc_cont=None,
                  mora_tasa_int_deveng_vige_cont=None),
+            # 12: two accrual rows at the cutoff: the lookup fans out
+            dict(saldo_jts_oid=12, fecha=CUT, interes_deveng_vigente_cont=D("1.00"),
+                 interes_deveng_vencido_cont=None, mora_tasa_int_deveng_venc_cont=None,
+                 mora_tasa_int_deveng_vige_cont=None),
+            dict(saldo_jts_oid=12, fecha=CUT, interes_deveng_vigente_cont=D("2.00"),
+                 interes_deveng_vencido_cont=None, mora_tasa_int_deveng_venc_cont=None,
+                 mora_tasa_int_deveng_vige_cont=None),
             dict(saldo_jts_oid=1, fecha=T(2018, 9, 30), interes_deveng_vigente_cont=D("50.00"),
                  interes_deveng_vencido_cont=None, mora_tasa_int_deveng_venc_cont=None,
                  mora_tasa_int_deveng_vige_cont=None),
@@ -292,6 +299,13 @@ def test_two_disbursements_fine_when_not_read(published):
     assert 12 in published["rows"] or 12 in published["rejected"]
 
 
+def test_fanned_out_lookup_rejected_as_duplicate_key(published):
+    # two accrual rows at the cutoff give loan 12 two result rows (as the
+    # reference's lateral lookup would); the unique-key check rejects both
+    assert 12 not in published["rows"]
+    assert "duplicate key" in published["rejected"][12]
+
+
 def test_interest_on_last_payment_date(published):
     r = published["rows"][14]
     assert r["Monto_Ult_Pago_Int"] == D("12.00")
