@@ -13,8 +13,9 @@ partitions that side. For those joins the hot keys are split explicitly:
    ``ceil(count / rows_per_task)`` salts (a hash of the row's id columns);
    other keys take salt 0.
 3. The one-row-per-key side repeats each hot key's row once per salt.
-4. The join runs on (key, salt): every large-side row meets exactly one copy
-   of its partner row, so the result equals the plain join.
+4. The large side is hash-partitioned on (key, salt) and the join runs on
+   (key, salt): every large-side row meets exactly one copy of its partner
+   row, so the result equals the plain join.
 """
 
 from __future__ import annotations
@@ -71,7 +72,12 @@ def split_hot_keys(large: DataFrame, per_key: DataFrame, keys: list[str], how: s
     hot = F.broadcast(hot)
     salt = F.when(F.col(SALTS).isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*[F.col(c) for c in id_cols]), F.col(SALTS)).cast("int"))
-    big = large.join(hot, keys, "left").withColumn(SALT, salt).drop(SALTS)
+    # Partition explicitly on (key, salt): the join itself may reuse an
+    # existing partitioning on the key alone (co-partitioned composite joins
+    # are allowed, see session.py), which would put every salt of a hot key
+    # back into one task.
+    big = (large.join(hot, keys, "left").withColumn(SALT, salt).drop(SALTS)
+           .repartition(*[F.col(k) for k in keys], F.col(SALT)))
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1))
     small = per_key.join(hot, keys, "left").withColumn(SALT, copies).drop(SALTS)
     return big.join(small, keys + [SALT], how).drop(SALT)

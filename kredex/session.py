@@ -20,9 +20,9 @@ ENGINE_SQL_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
-    # a join on (loan, client) may reuse the spine's partitioning on the loan
-    # key alone (unique per spine row, so no skew from the coarser key)
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # joins partition on all their keys (Spark's default), so a salted join's
+    # (key, salt) partitioning is never collapsed onto the key alone
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
 }
 # Dated partitions of the result are replaced one at a time: the publish step
 # passes ``partitionOverwriteMode=dynamic`` on its own writes instead of

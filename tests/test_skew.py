@@ -85,3 +85,22 @@ def test_hot_key_list_is_computed_once(spark):
     assert out.count() == 5000
     out.collect()
     assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_salted_join_partitions_on_key_and_salt(spark):
+    """Both sides of a salted join are hash-partitioned on (key, salt), even
+    when the large side is already partitioned on the key alone."""
+    import re
+    from kredex.operators.skew import split_hot_keys
+    big = spark.range(2000).selectExpr("id", "id % 5 as k").repartition("k")
+    per_key = spark.range(5).selectExpr("id as k", "id * 10 as v")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = split_hot_keys(big, per_key, ["k"], "inner", id_cols=["id"], rows_per_task=100)
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    smj = plan[plan.index("SortMergeJoin"):]
+    assert len(re.findall(r"Exchange hashpartitioning\(k#\d+L?, _salt#\d+", smj)) >= 1
+    assert out.count() == 2000
