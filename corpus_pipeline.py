@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kredex.llm import decontaminate, host_rules
+from kredex.llm import decontaminate, host_rules, near_dups
 from kredex.llm.common import stored, table
 
 
@@ -22,12 +22,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return host_rules.quality_filter(docs)
 
 
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dups.keep_one(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("MinHash near-dedup", minhash_near_dedup),
     ("benchmark decontamination", benchmark_decontamination),
 ]
 

@@ -7,7 +7,7 @@ version, a round trip or held-out accuracy in ``tests/llm``.
 
 from __future__ import annotations
 
-from . import decontaminate, host_rules
+from . import decontaminate, host_rules, near_dups
 from .common import table
 
 
@@ -61,6 +61,10 @@ FROM judged
 """
 
 
+def op4_odd_sketch_near_dups(spark, sf_dir):
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_suffix_array_decontamination(spark, sf_dir):
     return decontaminate.decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -100,6 +104,7 @@ FROM lowered LEFT JOIN words USING (rid) LEFT JOIN named USING (rid)
 
 QUERIES = {
     "op2_host_quality_rules": op2_host_quality_rules,
+    "op4_odd_sketch_near_dups": op4_odd_sketch_near_dups,
     "op9_suffix_array_decontamination": op9_suffix_array_decontamination,
 }
 
