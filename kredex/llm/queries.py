@@ -7,7 +7,7 @@ version, a round trip or held-out accuracy in ``tests/llm``.
 
 from __future__ import annotations
 
-from . import decontaminate, host_rules, near_dups
+from . import decontaminate, host_rules, near_dups, suffix_dedup
 from .common import table
 
 
@@ -102,10 +102,15 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM lowered LEFT JOIN words USING (rid) LEFT JOIN named USING (rid)
 """
 
+def op10_blockwise_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_host_quality_rules": op2_host_quality_rules,
     "op4_odd_sketch_near_dups": op4_odd_sketch_near_dups,
     "op9_suffix_array_decontamination": op9_suffix_array_decontamination,
+    "op10_blockwise_suffix_dedup": op10_blockwise_suffix_dedup,
 }
 
 ORACLE = {
