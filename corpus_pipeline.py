@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kredex.llm import decontaminate, host_rules, near_dups
+from kredex.llm import byte_bpe, decontaminate, host_rules, near_dups
 from kredex.llm.common import stored, table
 
 
@@ -30,10 +30,15 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
+def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode(docs, ["doc_id", "lang", "source"])
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("MinHash near-dedup", minhash_near_dedup),
     ("benchmark decontamination", benchmark_decontamination),
+    ("byte-level BPE", byte_level_bpe),
 ]
 
 

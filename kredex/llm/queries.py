@@ -7,7 +7,7 @@ version, a round trip or held-out accuracy in ``tests/llm``.
 
 from __future__ import annotations
 
-from . import decontaminate, host_rules, near_dups, suffix_dedup
+from . import byte_bpe, decontaminate, host_rules, near_dups, suffix_dedup
 from .common import table
 
 
@@ -65,6 +65,10 @@ def op4_odd_sketch_near_dups(spark, sf_dir):
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_byte_bpe(spark, sf_dir):
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op9_suffix_array_decontamination(spark, sf_dir):
     return decontaminate.decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -109,6 +113,7 @@ def op10_blockwise_suffix_dedup(spark, sf_dir):
 QUERIES = {
     "op2_host_quality_rules": op2_host_quality_rules,
     "op4_odd_sketch_near_dups": op4_odd_sketch_near_dups,
+    "op5_byte_bpe": op5_byte_bpe,
     "op9_suffix_array_decontamination": op9_suffix_array_decontamination,
     "op10_blockwise_suffix_dedup": op10_blockwise_suffix_dedup,
 }
