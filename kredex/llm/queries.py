@@ -7,7 +7,7 @@ version, a round trip or held-out accuracy in ``tests/llm``.
 
 from __future__ import annotations
 
-from . import byte_bpe, decontaminate, host_rules, near_dups, suffix_dedup
+from . import byte_bpe, decontaminate, host_rules, near_dups, suffix_dedup, warc
 from .common import table
 
 
@@ -69,6 +69,27 @@ def op5_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op6_warc_normaliser(spark, sf_dir):
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+OP6_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), firsts AS (
+  SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100
+  GROUP BY payload_digest HAVING count(*) > 1
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END
+         AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM p LEFT JOIN firsts USING (payload_digest)
+"""
+
+
 def op9_suffix_array_decontamination(spark, sf_dir):
     return decontaminate.decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -114,11 +135,13 @@ QUERIES = {
     "op2_host_quality_rules": op2_host_quality_rules,
     "op4_odd_sketch_near_dups": op4_odd_sketch_near_dups,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_warc_normaliser": op6_warc_normaliser,
     "op9_suffix_array_decontamination": op9_suffix_array_decontamination,
     "op10_blockwise_suffix_dedup": op10_blockwise_suffix_dedup,
 }
 
 ORACLE = {
+    "op6_warc_normaliser": OP6_SQL,
     "op2_host_quality_rules": OP2_SQL,
     "op9_suffix_array_decontamination": OP9_SQL,
 }
