@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kredex.llm import byte_bpe, decontaminate, host_rules, near_dups
+from kredex.llm import byte_bpe, decontaminate, host_rules, near_dups, secrets
 from kredex.llm.common import stored, table
 
 
@@ -30,6 +30,10 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secrets.mask_secrets(docs)
+
+
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(docs, ["doc_id", "lang", "source"])
 
@@ -38,6 +42,7 @@ STAGES = [
     ("quality rules", quality_rules),
     ("MinHash near-dedup", minhash_near_dedup),
     ("benchmark decontamination", benchmark_decontamination),
+    ("secret scans", secret_scans),
     ("byte-level BPE", byte_level_bpe),
 ]
 

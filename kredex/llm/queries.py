@@ -7,7 +7,7 @@ version, a round trip or held-out accuracy in ``tests/llm``.
 
 from __future__ import annotations
 
-from . import byte_bpe, decontaminate, host_rules, near_dups, suffix_dedup, warc
+from . import byte_bpe, decontaminate, host_rules, near_dups, secrets, suffix_dedup, warc
 from .common import table
 
 
@@ -90,6 +90,10 @@ FROM p LEFT JOIN firsts USING (payload_digest)
 """
 
 
+def op8_markov_secrets(spark, sf_dir):
+    return secrets.scan_secrets(table(spark, sf_dir, "documents")).drop("found")
+
+
 def op9_suffix_array_decontamination(spark, sf_dir):
     return decontaminate.decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -136,6 +140,7 @@ QUERIES = {
     "op4_odd_sketch_near_dups": op4_odd_sketch_near_dups,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_warc_normaliser": op6_warc_normaliser,
+    "op8_markov_secrets": op8_markov_secrets,
     "op9_suffix_array_decontamination": op9_suffix_array_decontamination,
     "op10_blockwise_suffix_dedup": op10_blockwise_suffix_dedup,
 }
