@@ -7,10 +7,14 @@ version, a round trip or held-out accuracy in ``tests/llm``.
 
 from __future__ import annotations
 
-from . import byte_bpe, decontaminate, host_rules, near_dups, secrets, suffix_dedup, warc
+from . import byte_bpe, decontaminate, host_rules, lang_id, near_dups, quality_rank, secrets, suffix_dedup, warc
 from .common import table
 
 
+def op1_byte_cnn_language(spark, sf_dir):
+    return lang_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op2_host_quality_rules(spark, sf_dir):
     return host_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -90,6 +94,10 @@ FROM p LEFT JOIN firsts USING (payload_digest)
 """
 
 
+def op7_bradley_terry_quality(spark, sf_dir):
+    return quality_rank.rank_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_markov_secrets(spark, sf_dir):
     return secrets.scan_secrets(table(spark, sf_dir, "documents")).drop("found")
 
@@ -136,10 +144,12 @@ def op10_blockwise_suffix_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_byte_cnn_language": op1_byte_cnn_language,
     "op2_host_quality_rules": op2_host_quality_rules,
     "op4_odd_sketch_near_dups": op4_odd_sketch_near_dups,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_warc_normaliser": op6_warc_normaliser,
+    "op7_bradley_terry_quality": op7_bradley_terry_quality,
     "op8_markov_secrets": op8_markov_secrets,
     "op9_suffix_array_decontamination": op9_suffix_array_decontamination,
     "op10_blockwise_suffix_dedup": op10_blockwise_suffix_dedup,
