@@ -47,6 +47,32 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def once(df: DataFrame, name: str, value) -> DataFrame:
+    """``df`` with a column that Spark computes once per row. A plain column
+    may be copied by the optimizer into every use, into filters it pushes down
+    and into lambda bodies that run per element; the output of a generator is
+    not."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
+#: Bits of the bitmap of ``likely_in``; its table has at most BITMAP / 64 rows.
+BITMAP = 1 << 24
+
+
+def likely_in(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The ``rows`` whose ``key`` can be among the keys of ``wanted``: no row
+    with a wanted key is lost, some others may pass. The wanted keys are folded
+    into a bitmap of fixed size, so its broadcast is at most BITMAP / 64 rows
+    (4 MB) for any input; an exact join follows, which then shuffles little
+    more than the rows it keeps."""
+    point = F.pmod(F.xxhash64(key), F.lit(BITMAP))
+    bits = (wanted.select(F.shiftright(point, 6).alias("__w"), F.pmod(point, F.lit(64)).cast("int").alias("__b"))
+            .groupBy("__w").agg(F.bit_or(F.expr("shiftleft(1L, __b)")).alias("__m")))
+    marked = rows.withColumn("__w", F.shiftright(point, 6)).withColumn("__b", F.pmod(point, F.lit(64)).cast("int"))
+    return (marked.join(F.broadcast(bits), "__w")
+            .where(F.expr("(shiftrightunsigned(__m, __b) & 1L) = 1L")).drop("__w", "__b", "__m"))
+
+
 def map_texts(df: DataFrame, text: str, keep: list[str], schema: str,
               make: Callable[[], Callable[[list[bytes]], dict[str, list | pa.Array]]]) -> DataFrame:
     """One output row per input row: the ``keep`` columns, then the columns

@@ -7,7 +7,7 @@ version, a round trip or held-out accuracy in ``tests/llm``.
 
 from __future__ import annotations
 
-from . import byte_bpe, decontaminate, host_rules, lang_id, near_dups, quality_rank, secrets, suffix_dedup, warc
+from . import byte_bpe, decontaminate, host_rules, lang_id, licenses, near_dups, quality_rank, secrets, suffix_dedup, warc
 from .common import table
 
 
@@ -65,6 +65,10 @@ FROM judged
 """
 
 
+def op3_license_scans(spark, sf_dir):
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op4_odd_sketch_near_dups(spark, sf_dir):
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -143,17 +147,10 @@ def op10_blockwise_suffix_dedup(spark, sf_dir):
     return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {
-    "op1_byte_cnn_language": op1_byte_cnn_language,
-    "op2_host_quality_rules": op2_host_quality_rules,
-    "op4_odd_sketch_near_dups": op4_odd_sketch_near_dups,
-    "op5_byte_bpe": op5_byte_bpe,
-    "op6_warc_normaliser": op6_warc_normaliser,
-    "op7_bradley_terry_quality": op7_bradley_terry_quality,
-    "op8_markov_secrets": op8_markov_secrets,
-    "op9_suffix_array_decontamination": op9_suffix_array_decontamination,
-    "op10_blockwise_suffix_dedup": op10_blockwise_suffix_dedup,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_byte_cnn_language, op2_host_quality_rules, op3_license_scans, op4_odd_sketch_near_dups, op5_byte_bpe,
+    op6_warc_normaliser, op7_bradley_terry_quality, op8_markov_secrets, op9_suffix_array_decontamination,
+    op10_blockwise_suffix_dedup)}
 
 ORACLE = {
     "op6_warc_normaliser": OP6_SQL,

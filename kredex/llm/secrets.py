@@ -28,6 +28,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import once
+
 # The base rules, letters of the assignment keywords in either case.
 KEYWORDS = ("password", "passwd", "secret", "token", "api_?key")
 KINDS = ("assign", "access", "hex", "markov")
@@ -86,7 +88,7 @@ def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the array column ``base`` of base spans, sorted."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     assign = F.filter(_spans(t, ASSIGN, 0, 2), lambda s: F.length(s["value"]) >= LEAST_VALUE)
-    return docs.withColumn("base", F.array_sort(F.concat(assign, _spans(t, ACCESS, 1), _spans(t, HEX, 2))))
+    return once(docs, "base", F.array_sort(F.concat(assign, _spans(t, ACCESS, 1), _spans(t, HEX, 2))))
 
 
 def _transitions(words: DataFrame) -> DataFrame:
@@ -146,8 +148,8 @@ def added_spans(rows: DataFrame, model: list[int], text: str = "text") -> DataFr
     """``rows`` (with ``base``) plus the array column ``added``."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     table = _table(model)
-    rows = rows.withColumn("added", _spans(t, CANDIDATE, 3))
-    return rows.withColumn("added", F.when(F.size("added") == 0, F.col("added")).otherwise(F.filter(
+    rows = once(rows, "added", _spans(t, CANDIDATE, 3))
+    return once(rows, "added", F.when(F.size("added") == 0, F.col("added")).otherwise(F.filter(
         "added", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
         & _random(s["value"], table))))
 
