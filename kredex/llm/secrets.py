@@ -16,7 +16,7 @@ m matches costs m log m.
 
 Defined cases: null text is empty and has no spans; positions are code points,
 end exclusive; repeated rows and null ids are rows like others; with no base
-span in the corpus the random model is its uniform prior; empty tables give no
+span in the corpus the random model is uniform; empty tables give no
 rows; other columns are ignored.
 """
 
@@ -51,7 +51,7 @@ LEAST_CANDIDATE = 20
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 WORD = r"[A-Za-z0-9_]{12,}"
 #: Weight of the uniform prior per character, in transitions.
-PRIOR = 66
+PRIOR = 6.6
 #: Thousandths of a nat per transition from which a candidate is a secret.
 THRESHOLD = 1000
 MASK = "[SECRET]"
@@ -114,15 +114,16 @@ def train(docs: DataFrame, text: str = "text") -> list[int]:
 
 
 def ratios(random: dict[str, int], words: dict[str, int]) -> list[int]:
+    """The random model is an even mixture of the Markov model of the samples
+    and of uniform characters, so that it covers alphabets the samples lack."""
     k = len(ALPHABET)
 
-    def log_p(counts: dict[str, int]) -> dict[str, float]:
+    def p(counts: dict[str, int]) -> dict[str, float]:
         rows = {a: sum(counts.get(a + b, 0) for b in ALPHABET) for a in ALPHABET}
-        return {a + b: math.log((counts.get(a + b, 0) + PRIOR / k) / (rows[a] + PRIOR))
-                for a in ALPHABET for b in ALPHABET}
+        return {a + b: (counts.get(a + b, 0) + PRIOR / k) / (rows[a] + PRIOR) for a in ALPHABET for b in ALPHABET}
 
-    r, w = log_p(random), log_p(words)
-    return [round(1000 * (r[a + b] - w[a + b])) for a in ALPHABET for b in ALPHABET]
+    r, w = p(random), p(words)
+    return [round(1000 * math.log((r[a + b] + 1 / k) / 2 / w[a + b])) for a in ALPHABET for b in ALPHABET]
 
 
 def _ratio(token: Column, table: Column) -> Column:
