@@ -1,0 +1,103 @@
+"""The pipeline against its plain version, stage by stage."""
+import random
+
+import numpy as np
+import pytest
+
+import brute
+import corpus_pipeline as P
+from kredex.llm import secrets as S
+
+NAMES = ["quality rules", "MinHash near-dedup", "benchmark decontamination", "secret scans", "byte-level BPE"]
+
+
+def corpus():
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9)))
+    rows = []
+    for i in range(60):
+        t = " ".join(word() for _ in range(40)) + "."
+        if i % 9 == 0:
+            t = "bad " * 20
+        if i % 7 == 1:
+            t += " token = \"0123456789abcdef0123456789abcdef\" end"
+        if i % 11 == 2:
+            t += " The passage of ten words that leaked from a benchmark set here."
+        rows.append((i, t, "en" if i % 2 else "de", f"host{i % 4}"))
+    rows += [(100 + i, rows[i + 1][1] + (" extra" if i % 2 else ""), "en", "host1") for i in range(8)]
+    rows += [(200 + i, "junk", "en", "poor") for i in range(30)] + [(300, rows[3][1] + " unique tail", "en", "poor")]
+    rows += [(400, None, "en", "host1"), (401, "", None, None), rows[5], rows[5]]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def world(spark, make_docs, tmp_path_factory):
+    d = str(tmp_path_factory.mktemp("sf"))
+    make_docs(corpus()).write.parquet(f"{d}/documents.parquet")
+    (spark.createDataFrame([(1, "the passage of ten words that leaked from a benchmark set"), (2, None)], "item_id long, text string")
+     .write.parquet(f"{d}/benchmark.parquet"))
+    return d
+
+
+def rows_of(df):
+    return sorted((str(r.doc_id), str(r.text), str(r.lang), str(r.source)) for r in df.collect())
+
+
+def key(rows):
+    return sorted(tuple(map(str, r)) for r in rows)
+
+
+def plain_quality(rows):
+    failed = {r: brute.quality(r[1])[5] for r in rows}
+    hosts = {}
+    for r in rows:
+        hosts.setdefault(r[3], []).append(failed[r])
+    rate = {h: sum(v) / len(v) for h, v in hosts.items()}
+    m, inv = np.mean(list(rate.values())), np.mean([1 / len(v) for v in hosts.values()])
+    var = np.var(list(rate.values()), ddof=1)
+    w = max(m * (1 - m) / max(var - m * (1 - m) * inv, var * 0.01) - 1, 1e-3)
+    bad = {h for h, v in hosts.items() if (sum(v) + m * w) / (len(v) + w) >= 0.5}
+    return [r for r in rows if not failed[r] and r[3] not in bad]
+
+
+def plain_near(rows):
+    kept = {d for d, _, _, k in brute.near_dups([r[:2] for r in rows]) if k}
+    return sorted({r for r in rows if r[0] in kept}, key=str)
+
+
+def test_stages(spark, world):
+    assert [n for n, _ in P.STAGES] == NAMES
+    docs = spark.read.parquet(f"{world}/documents.parquet")
+    rows = corpus()
+    expected = [plain_quality, plain_near,
+                lambda rs: [r for r in rs if not brute.contamination(r[1], [(1, "the passage of ten words that leaked from a benchmark set")])[1]]]
+    for (name, stage), plain in zip(P.STAGES, expected):
+        out = stage(spark, docs, world)
+        assert out.columns == docs.columns, name
+        rows = plain(rows)
+        assert rows_of(out) == key(rows), name
+        docs = out.cache()
+    model = S.train(docs)
+    out = P.STAGES[3][1](spark, docs, world)
+    rows = [(d, brute.masked(t, model, S.ALPHABET, S.THRESHOLD), a, b) for d, t, a, b in rows]
+    assert out.columns == docs.columns and rows_of(out) == key(rows)
+    assert any("[SECRET]" in r[1] for r in rows) and not any("0123456789abcdef" in r[1] for r in rows)
+    import public_tokenizers as T
+    import tiktoken
+    from kredex.llm import byte_bpe
+    lib = tiktoken.Encoding("own", pat_str=T.PATTERN, mergeable_ranks=byte_bpe.codec(T.path("byte_bpe_50k.tiktoken")).ranks,
+                            special_tokens={})
+    last = P.STAGES[4][1](spark, out, world)
+    assert sorted((r.doc_id, tuple(r.ids)) for r in last.collect()) == sorted((r[0], tuple(lib.encode_ordinary(r[1]))) for r in rows)
+    # run() gives the same rows
+    assert sorted((r.doc_id, tuple(r.ids)) for r in P.run(spark, world).collect()) == \
+        sorted((r.doc_id, tuple(r.ids)) for r in last.collect())
+
+
+def test_stages_on_edges(spark, world, edge_docs, no_docs):
+    for docs in (edge_docs, no_docs):
+        for name, stage in P.STAGES:
+            out = stage(spark, docs, world)
+            rows = out.collect()
+            assert name == NAMES[-1] or out.columns == docs.columns
+            assert len(rows) <= len(brute.EDGES)
