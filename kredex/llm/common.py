@@ -65,12 +65,18 @@ def likely_in(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     into a bitmap of fixed size, so its broadcast is at most BITMAP / 64 rows
     (4 MB) for any input; an exact join follows, which then shuffles little
     more than the rows it keeps."""
+    return marked_likely(rows, wanted, key).where("__likely").drop("__likely")
+
+
+def marked_likely(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """All ``rows``, with a boolean column ``__likely`` (see ``likely_in``)."""
     point = F.pmod(F.xxhash64(key), F.lit(BITMAP))
     bits = (wanted.select(F.shiftright(point, 6).alias("__w"), F.pmod(point, F.lit(64)).cast("int").alias("__b"))
             .groupBy("__w").agg(F.bit_or(F.expr("shiftleft(1L, __b)")).alias("__m")))
-    marked = rows.withColumn("__w", F.shiftright(point, 6)).withColumn("__b", F.pmod(point, F.lit(64)).cast("int"))
-    return (marked.join(F.broadcast(bits), "__w")
-            .where(F.expr("(shiftrightunsigned(__m, __b) & 1L) = 1L")).drop("__w", "__b", "__m"))
+    spread = rows.withColumn("__w", F.shiftright(point, 6)).withColumn("__b", F.pmod(point, F.lit(64)).cast("int"))
+    return (spread.join(F.broadcast(bits), "__w", "left")
+            .withColumn("__likely", F.expr("coalesce((shiftrightunsigned(__m, __b) & 1L) = 1L, false)"))
+            .drop("__w", "__b", "__m"))
 
 
 def map_texts(df: DataFrame, text: str, keep: list[str], schema: str,

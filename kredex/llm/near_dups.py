@@ -7,21 +7,21 @@ linked; the groups are the connected components.
 
 1. One pass over the texts gives each document a class key (digest of its word
    sequence), ``BANDS`` x ``ROWS`` MinHash values folded into band buckets, and
-   the odd sketch: every (index, value) sample toggles one of ``BITS`` bits.
-   A pair at similarity s shares a bucket with probability
-   1 - (1 - s**ROWS)**BANDS, which is 0.999997 at 0.8.
+   the odd sketch: each value of its bottom-``SAMPLE`` MinHash sample toggles
+   one of ``BITS`` bits. A pair at similarity s shares a bucket with
+   probability 1 - (1 - s**ROWS)**BANDS, which is 0.999997 at 0.8.
 2. Documents of one class become one node, combined map-side.
-3. Hub rounds: in each bucket that holds more than one component, every member
-   is compared with one hub of that bucket, so a bucket gives one pair per
-   member and not all pairs. The XOR population count z of two odd sketches
-   estimates the size of the difference of the sample sets,
-   -BITS/2 ln(1 - 2z/BITS); pairs below ``LEAST_ESTIMATE`` (over five standard
-   deviations under 0.8) go no further.
-4. Surviving pairs are verified on the full sets. Verified links update the
-   components and the next round looks only at buckets that are still mixed.
-5. What hubs leave mixed is closed exactly: the remaining pairs of one bucket
-   with different components are tested by their sketches inside the join, in
-   blocks, and the survivors verified too.
+3. Hub round: in each bucket every member is compared with one hub, the member
+   that shares most buckets, so a bucket gives one pair per member and not all
+   pairs. The XOR population count of two odd sketches estimates how many
+   samples differ. For sets no larger than the sample it cannot exceed the size
+   of the symmetric difference, so the test is exact in that it loses no link:
+   a link needs a difference of at most a ninth of the sizes' sum. For larger
+   sets the limit lies five standard deviations beyond the worst linked pair.
+4. Surviving pairs are verified on the full sets; links give the components.
+5. Closing: the pairs of a bucket that are still in different components are
+   tested by their sketches inside a join, in blocks, so only pairs that are
+   almost surely links leave it; these are verified and linked too.
 
 Defined cases: a text without words is linked with nothing and is its own
 component; null ids are never the smallest unless all are null; rows with equal
@@ -41,14 +41,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, stored
+from .common import likely_in, map_texts, marked_likely, stored
 
 WIDTH = 2
 SIMILAR = 80                     # percent
 BANDS, ROWS = 32, 5
-BITS = 1024
-LEAST_ESTIMATE = 0.62
-HUB_ROUNDS = 2
+SAMPLE = 1024
+BITS = 2048
+#: Differing samples allowed to sets larger than the sample: 0.4 * SAMPLE at
+#: similarity 0.8 when one set holds the other, plus five standard deviations
+#: of 2 * sqrt(0.16 * SAMPLE).
+MOST_APART = 540
 #: Members verified per copy of a hub's text; members per block of the
 #: closing join.
 HUB_SHARE = 256
@@ -93,13 +96,12 @@ def min_hashes(x: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return out
 
 
-def odd_sketches(samples: np.ndarray) -> np.ndarray:
-    """(documents, samples) MinHash values to (documents, BITS / 64) words."""
-    n = len(samples)
-    bit = _mix(samples + np.arange(1, samples.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    bit = (bit % np.uint64(BITS)).astype(np.int64) + np.arange(n)[:, None] * BITS
-    odd = (np.bincount(bit.ravel(), minlength=n * BITS) & 1).astype(np.uint8)
-    return np.packbits(odd.reshape(n, BITS), axis=1, bitorder="little").view(np.int64)
+def odd_sketch(x: np.ndarray) -> np.ndarray:
+    """BITS / 64 words: the parity of the bottom-SAMPLE hashes per bit. ``x``
+    is sorted."""
+    bit = (_mix(x[:SAMPLE] + np.uint64(0x9E3779B97F4A7C15)) % np.uint64(BITS)).astype(np.int64)
+    odd = (np.bincount(bit, minlength=BITS) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
 
 
 def band_buckets(samples: np.ndarray) -> np.ndarray:
@@ -122,7 +124,7 @@ def _signer():
         return pa.ListArray.from_arrays(pa.array(np.cumsum(at), pa.int32()), pa.array(m.ravel()))
 
     def sign(texts: list[bytes]) -> dict:
-        keys, counts, samples = [], [], []
+        keys, counts, samples, sketches = [], [], [], []
         for t in texts:
             words = t.lower().split()
             if not words:
@@ -133,21 +135,24 @@ def _signer():
             x = shingle_hashes(words)
             counts.append(len(x))
             samples.append(min_hashes(x, factors))
+            sketches.append(odd_sketch(x))
         present = [k is not None for k in keys]
         m = np.array(samples, np.uint64).reshape(-1, _SAMPLES)
         return {"key": keys, "n_shingles": counts, "buckets": rows(band_buckets(m), present),
-                "sketch": rows(odd_sketches(m), present)}
+                "sketch": rows(np.array(sketches, np.int64).reshape(-1, BITS // 64), present)}
 
     return sign
 
 
-def estimate_ok(a: str, b: str) -> Column:
-    """Whether two sketches' estimated similarity reaches LEAST_ESTIMATE."""
-    apart = 2 * _SAMPLES * (1 - LEAST_ESTIMATE)
-    most = math.floor(BITS / 2 * (1 - math.exp(-2 * apart / BITS)))
-    z = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")),
-                    F.lit(0), lambda s, v: s + v)
-    return z <= most
+def may_link(a: str, b: str) -> Column:
+    """Whether the sets' sizes and sketches (columns ``n`` and ``sketch``
+    with the prefixes ``a`` and ``b``) allow a link."""
+    na, nb, sa, sb = (F.col(x + y) for y in ("n", "sketch") for x in (a, b))
+    z = sum(F.bit_count(F.get(sa, F.lit(i)).bitwiseXOR(F.get(sb, F.lit(i)))) for i in range(BITS // 64))
+    most = math.floor(BITS / 2 * (1 - math.exp(-2 * MOST_APART / BITS)))
+    return ((100 * F.least(na, nb) >= SIMILAR * F.greatest(na, nb))
+            & (z <= F.when(F.greatest(na, nb) <= SAMPLE, F.floor((na + nb) * (100 - SIMILAR) / (100 + SIMILAR)))
+               .otherwise(F.lit(most))))
 
 
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -208,80 +213,77 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
             .withColumn("label", F.coalesce("label", "node")))
 
 
-def _link(nodes: DataFrame, texts_of, hub_rounds: int, block: int) -> DataFrame | None:
+def _link(nodes: DataFrame, texts_of, block: int) -> DataFrame | None:
     """Labels of the linked nodes (None: no bucket holds two nodes)."""
-    sketches = nodes.select("node", "sketch")
+    sets = nodes.select("node", "sketch", F.col("n_shingles").alias("n"))
     bands = nodes.select("node", F.explode("buckets").alias("bucket"))
-    several = stored(bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"))
-    members = stored(bands.join(several, "bucket").select("bucket", "node"))
-    labels, links, tried = None, None, None
-    for turn in range(hub_rounds + 1):
-        rows = _labelled(members, labels)
-        order = F.struct(F.xxhash64("node", F.lit(turn)), "node", "label") if turn else F.struct("node", "label")
-        hubs = (rows.groupBy("bucket").agg(F.min(order).alias("h"), F.min("label").alias("x"), F.max("label").alias("y"),
-                                           F.count(F.lit(1)).alias("n"))
-                .where("x <> y").select("bucket", F.col("h.node").alias("hub"), F.col("h.label").alias("hub_label"), "n"))
-        hubs = stored(hubs)
-        if hubs.isEmpty():
-            break
-        rows = rows.join(hubs, "bucket")
-        if turn < hub_rounds:
-            pairs = (rows.where("label <> hub_label")
-                     .select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
-            pairs = (pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a")
-                     .join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
-                     .where(estimate_ok("sa", "sb")).select("a", "b"))
-        else:
-            pairs = _closing_pairs(stored(rows.select("bucket", "node", "label", "n")), sketches, block)
-        if tried is not None:
-            seen = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = stored(pairs)
-        if pairs.isEmpty():
-            continue
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        found = _verify(pairs, stored(texts_of(needed)))
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-    return labels
-
-
-def _closing_pairs(rows: DataFrame, sketches: DataFrame, block: int) -> DataFrame:
+    several = stored(bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
+    members = stored(likely_in(bands, several, "bucket").join(several, "bucket").select("bucket", "node", "size"))
+    degree = stored(members.groupBy("node").agg(F.sum("size").alias("degree")))
+    central = F.max(F.struct("degree", "node"))
+    hubs = stored(members.join(degree, "node").groupBy("bucket").agg(central.alias("h"))
+                  .select("bucket", F.col("h.node").alias("a")))
+    pairs = (members.join(hubs, "bucket").where("node <> a").select("a", F.col("node").alias("b")).distinct())
+    links = _checked(pairs, sets, texts_of)
+    labels = components(links) if links is not None else None
+
+    rows = _labelled(members, labels)
+    mixed = stored(rows.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+                   .where("x <> y").select("bucket"))
+    pairs = _closing_pairs(stored(rows.join(mixed, "bucket")), sets, block)
+    more = _checked(pairs, sets, texts_of)
+    if more is None:
+        return labels
+    return components(more if links is None else links.unionByName(more))
+
+
+def _checked(pairs: DataFrame, sets: DataFrame, texts_of) -> DataFrame | None:
+    """The (a, b) pairs that are links: sketches first, then the full sets."""
+    sides = [sets.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"), F.col("sketch").alias(f"{x}_sketch"))
+             for x in "ab"]
+    pairs = stored(pairs.join(sides[0], "a").join(sides[1], "b").where(may_link("a_", "b_")).select("a", "b"))
+    if pairs.isEmpty():
+        return None
+    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    return _verify(pairs, stored(texts_of(needed)))
+
+
+def _closing_pairs(rows: DataFrame, sets: DataFrame, block: int) -> DataFrame:
     """The pairs with different labels of each still-mixed bucket whose
     sketches agree. A bucket of n members is cut into k = ceil(n / block)
     blocks, and each unordered pair of blocks is one join key, so that no task
     holds a large bucket; the sketches are tested inside the join."""
-    k = F.ceil(F.col("n") / block).cast("int")
+    k = F.ceil(F.col("size") / block).cast("int")
     own = F.pmod(F.xxhash64("node", F.lit("block")), k).cast("int")
-    spread = (rows.join(sketches, "node").withColumn("k", k).withColumn("own", own)
+    spread = (rows.join(sets, "node").withColumn("k", k).withColumn("own", own)
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-              .select("bucket", "node", "label", "sketch", F.least("own", "other").alias("i"),
+              .select("bucket", "node", "label", "n", "sketch", F.least("own", "other").alias("i"),
                       F.greatest("own", "other").alias("j"), "own"))
     a, b = spread.alias("p"), spread.alias("q")
     at = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("bucket", "i", "j")]
     across = ((F.col("p.own") != F.col("q.own")) | (F.col("p.i") == F.col("p.j")))
     return (a.join(b, [*at, F.col("p.node") < F.col("q.node"), F.col("p.label") != F.col("q.label"),
-                       across, estimate_ok("p.sketch", "q.sketch")])
+                       across, may_link("p.", "q.")])
             .select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                    hub_rounds: int = HUB_ROUNDS, block: int = BLOCK) -> DataFrame:
+                    block: int = BLOCK) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept (and the class key)."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), _digest(text).alias("digest"))
     signed = stored(map_texts(source, "text", ["doc_id", "digest"], SIGNED, _signer))
     nodes = stored(signed.where("key is not null").groupBy("key")
                    .agg(F.min("doc_id").alias("least_id"), F.min("digest").alias("digest"),
+                        F.min("n_shingles").alias("n_shingles"),
                         F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch"))
                    .withColumn("node", F.monotonically_increasing_id()))
 
     def texts_of(needed: DataFrame) -> DataFrame:
         wanted = stored(nodes.select("node", "digest").join(needed, "node"))
-        return (source.select("digest", F.col("text").cast("binary").alias("text"))
-                .join(wanted, "digest").dropDuplicates(["node"]).select("node", "text"))
+        rows = source.select("digest", F.col("text").cast("binary").alias("text"))
+        return (likely_in(rows, wanted, "digest").join(wanted, "digest").dropDuplicates(["node"]).select("node", "text"))
 
-    labels = _link(nodes, texts_of, hub_rounds, block)
+    labels = _link(nodes, texts_of, block)
     rows = _labelled(nodes.select("key", "node", "least_id"), labels)
     least = stored(rows.groupBy("label").agg(F.min("least_id").alias("component_id")))
     classes = stored(rows.join(least, "label").select("key", "component_id"))
@@ -300,15 +302,24 @@ def _digest(text: str) -> Column:
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group, with all columns; rows that repeat an id
-    and its text are one document. Texts without words all stay."""
+    and its text are one document. Texts without words all stay. Only rows
+    whose text is dropped somewhere, or occurs more than once, are joined with
+    the verdicts; the others pass in place."""
     cols = docs.columns
-    verdict = near_duplicates(docs, doc_id, text)
-    held = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)], _digest(text).alias("digest"))
-    kept = verdict.where("kept")
-    back = [F.col(f"c{i}").alias(c) for i, c in enumerate(cols)]
-    lone = held.join(kept.where("n_shingles = 0").select("digest").distinct(), "digest", "left_semi")
     at = f"c{cols.index(doc_id)}"
-    best = stored(kept.where("n_shingles > 0").groupBy(F.col("doc_id").alias("id"), "digest").agg(F.lit(1).alias("one")))
-    rest = (held.join(best, (held.digest == best.digest) & F.col(at).eqNullSafe(F.col("id")), "left_semi")
+    back = [F.col(f"c{i}").alias(c) for i, c in enumerate(cols)]
+    verdict = stored(near_duplicates(docs, doc_id, text).where("n_shingles > 0")
+                     .groupBy("digest", F.col("doc_id").alias("id"))
+                     .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")))
+    judged = stored(verdict.groupBy("digest").agg(F.min("kept").alias("all_kept"), F.sum("n").alias("n"))
+                    .where("n > 1 or not all_kept").select("digest"))
+    held = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)], _digest(text).alias("digest"))
+    held = marked_likely(held, judged, "digest")
+    others = held.where("not __likely")
+    # rows that only share a bit with a judged text pass too
+    asked = held.where("__likely").join(judged.withColumn("judged", F.lit(True)), "digest", "left")
+    kept = verdict.where("kept").select(F.col("digest").alias("d"), "id")
+    best = (asked.where("judged").join(kept, (F.col("digest") == F.col("d")) & F.col(at).eqNullSafe(F.col("id")), "left_semi")
             .dropDuplicates(["digest", at]))
-    return rest.select(*back).unionByName(lone.select(*back))
+    return (others.select(*back).unionByName(asked.where("judged is null").select(*back))
+            .unionByName(best.select(*back)))
