@@ -1,9 +1,8 @@
-"""Registered queries: one per operator group of the report, each with the
-equivalent DuckDB SQL written in the reference's literal (correlated /
-lateral) form over the same adapter views.
+"""Registered queries: one per operator group of the report.
 
 Every query runs over the whole shared tables of ``sf_dir`` through the
-adapter views; the Spark side uses the fused engine operators.
+adapter views; the Spark side uses the fused engine operators. ``oracle.py``
+holds the DuckDB statement of each.
 """
 
 from __future__ import annotations
@@ -15,11 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import facts as fx_
 from ..params import RunParams
-from ..sources.adapters import CUTOFF_TC, TestWorld, with_clause
+from ..sources.adapters import CUTOFF_TC, TestWorld
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
-ORACLE: dict[str, str] = {}
 
 
 class Ctx:
@@ -41,32 +39,12 @@ class Ctx:
         return s.join(u, "jts_oid")
 
 
-def register(name: str, views: tuple[str, ...] | None = None, sql: str | None = None):
-    """Register a Spark query; ``sql`` (with the adapter ``views`` it reads)
-    is its DuckDB oracle."""
+def register(name: str):
+    """Register a Spark query over the test-data views."""
     def deco(fn: Callable[[Ctx], DataFrame]) -> QueryFn:
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return fn(Ctx(spark, sf_dir))
         QUERIES[name] = run
-        if sql is not None:
-            ORACLE[name] = oracle(views or (), sql)
         return run
     return deco
-
-
-def oracle(views: tuple[str, ...], sql: str) -> str:
-    """Prefix ``sql`` with the adapter views it reads, merging its own
-    ``WITH`` list if it has one."""
-    head = with_clause(views) if views else ""
-    body = sql.strip()
-    if head and body[:5].lower() == "with ":
-        return head.rstrip() + ",\n" + body[5:] + "\n"
-    return head + body + "\n"
-
-
-# Shared SQL fragments of the oracle (literal reference form).
-SPINE_SQL = """from saldos s join universe egp on s.jts_oid = egp.jts_oid
-where s.tz_lock = 0"""
-FX_SQL = f"(case s.moneda when 1 then cast(1 as decimal(8,4)) else cast({CUTOFF_TC} as decimal(8,4)) end)"
-TC_SQL = f"cast({CUTOFF_TC} as decimal(8,4))"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalog
+from . import catalog, oracle
 from . import extract_queries, report_queries  # noqa: F401  (register queries)
 
 
@@ -11,4 +11,4 @@ def queries():
 
 
 def oracle_sql():
-    return dict(catalog.ORACLE)
+    return oracle.statements()
