@@ -71,7 +71,7 @@ def grade_to_class(c: str | Column) -> Column:
     """Simple ``CASE`` grade A..E -> 1..5; anything else (NULL too) -> 0."""
     out = None
     for grade, n in GRADE_CLASS.items():
-        cond = col(c) == F.lit(grade)
+        cond = blank_eq(c, grade)
         out = F.when(cond, F.lit(n)) if out is None else out.when(cond, F.lit(n))
     return out.otherwise(F.lit(0))
 

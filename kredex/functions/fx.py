@@ -1,9 +1,8 @@
 """Exchange-rate lookup by date.
 
-The rate table holds one row per calendar date, so its size is bounded by
-the number of days covered (about 366 per year), not by the data volume.
-It is broadcast only after that bound is checked; past the bound the lookup
-falls back to a shuffle join.
+One value per date is the table's contract. A date that is present more than
+once raises, but only for a row that uses its rate (as a scalar lookup would).
+The joins carry no hint: Spark broadcasts the rate table by its size.
 """
 
 from __future__ import annotations
@@ -13,53 +12,51 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A rate table beyond this many rows is not broadcast.
-MAX_BROADCAST_RATE_ROWS = 200_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows (checked with a
-    bounded ``limit``/count job), else return it unchanged for a shuffle
-    join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
+from .exprs import single_value
 
 def rate_on(fx_rates: DataFrame, day: dt.date) -> DataFrame:
     """Rate of one date (exact match)."""
     return fx_rates.where(F.col("fecha") == F.lit(day)).select("tipo_cambio")
 
 
+def one_rate_per_date(fx_rates: DataFrame) -> DataFrame:
+    """(fecha, rate, rows): the rate of each date and how many rows it had."""
+    return (fx_rates.groupBy(F.col("fecha").cast("date").alias("fecha"))
+            .agg(F.max("tipo_cambio").alias("rate"), F.count(F.lit(1)).alias("rows")))
+
+
 def rate_by_date(rows: DataFrame, date_col: Column | str, fx_rates: DataFrame,
-                 out: str = "fx_rate", asof: bool = False) -> DataFrame:
-    """Attach to each row the rate of its date (a left lookup).
+                 out: str = "fx_rate", asof: bool = False, used: Column | None = None) -> DataFrame:
+    """Attach to each row the rate of its date (a left lookup); with ``used``,
+    only to rows for which it holds (a repeated date fails only these).
 
     ``asof=False``: exact-date match, NULL when the date has no rate.
-    ``asof=True``: the last rate on or before the date. Each rate is valid
-    from its date to the day before the next rate's date; those ranges are
-    spelled out as one row per calendar day (bounded by the days the table
-    spans) so the lookup stays a broadcast equi-join. Dates after the last
-    rate take the last rate, a single value read on the driver.
+    ``asof=True``: the last rate on or before the date. Each rate is valid from
+    its date to the day before the next rate's date, the last one without end;
+    those ranges are spelled out per calendar month they touch, so the lookup
+    is an equi-join on the month with the day range as a condition. The window
+    that finds the next date runs over one row per date.
     """
     d = F.to_date(F.col(date_col) if isinstance(date_col, str) else date_col)
-    rates = fx_rates.select(F.col("fecha").cast("date").alias("fecha"), "tipo_cambio")
+    rates = one_rate_per_date(fx_rates)
+    value = single_value(F.col("_fx_value"), F.coalesce("_fx_rows", F.lit(0)), "exchange rate of a date")
+    rates = rates.select(F.col("fecha").alias("_fx_d"), F.col("rate").alias("_fx_value"), F.col("rows").alias("_fx_rows"))
+    needed = F.lit(True) if used is None else used
     if not asof:
-        fx = bounded_broadcast(rates.select(F.col("fecha").alias("_fx_d"),
-                                            F.col("tipo_cambio").alias(out)),
-                               MAX_BROADCAST_RATE_ROWS)
-        return rows.join(fx, d == F.col("_fx_d"), "left").drop("_fx_d")
-    last = rates.orderBy(F.col("fecha").desc()).take(1)
-    nxt = F.lead("fecha").over(Window.orderBy("fecha"))
-    daily = (rates.withColumn("_fx_to", nxt)
-             .where(F.col("_fx_to").isNotNull())
-             .select(F.explode(F.sequence("fecha", F.date_sub("_fx_to", 1))).alias("_fx_d"),
-                     F.col("tipo_cambio").alias("_fx_r")))
-    daily = bounded_broadcast(daily, MAX_BROADCAST_RATE_ROWS)
-    joined = rows.join(daily, d == F.col("_fx_d"), "left")
-    if last:
-        last_day, last_rate = last[0]
-        tail = F.when(d >= F.lit(last_day), F.lit(last_rate).cast("decimal(8,4)"))
-        joined = joined.withColumn(out, F.coalesce(F.col("_fx_r"), tail))
-    else:
-        joined = joined.withColumn(out, F.col("_fx_r"))
-    return joined.drop("_fx_d", "_fx_r")
+        return (rows.join(rates, d == F.col("_fx_d"), "left")
+                .withColumn(out, F.when(needed, value)).drop("_fx_d", "_fx_value", "_fx_rows"))
+    # the dates fold to one row each above, so this window sorts a row per day
+    # the table covers
+    nxt = F.lead("_fx_d").over(Window.orderBy("_fx_d"))
+    ranges = rates.withColumn("_fx_to", nxt)
+    months = F.explode(F.sequence(F.trunc("_fx_d", "month"), F.trunc(F.date_sub("_fx_to", 1), "month"), F.expr("interval 1 month")))
+    ranges = ranges.where("_fx_to is not null").withColumn("_fx_month", months)
+    joined = rows.join(ranges, (F.trunc(d, "month") == F.col("_fx_month"))
+                       & (d >= F.col("_fx_d")) & (d < F.col("_fx_to")), "left")
+    # the open end: one row by construction (an aggregate without keys)
+    end = F.max(F.struct("_fx_d", "_fx_value", "_fx_rows"))
+    joined = joined.crossJoin(F.broadcast(rates.agg(end.alias("_fx_end"))))
+    tail = single_value(F.col("_fx_end._fx_value"), F.coalesce("_fx_end._fx_rows", F.lit(0)), "exchange rate of a date")
+    return (joined.withColumn(out, F.when(needed & (d >= F.col("_fx_end._fx_d")), tail)
+                              .when(needed, value))
+            .drop("_fx_d", "_fx_value", "_fx_rows", "_fx_to", "_fx_month", "_fx_end"))

@@ -99,7 +99,7 @@ def history_facts(historia: DataFrame) -> DataFrame:
     level folds the per-date rows.
     """
     h = valid(historia)
-    kind = F.col("tipomov")
+    kind = F.rtrim("tipomov")          # blank-padded equality
     pay = kind == "P"
     disb = kind.isin("A", "I")
     spread = F.col("tasamora") - F.col("tasainteres")
@@ -189,15 +189,18 @@ def collateral_value(relacion: DataFrame, garantias: DataFrame,
     of the collateral's date, 3 at the cutoff rate, others NULL.
 
     The value is first summed per collateral (garantia x balance rows, with
-    the dated rate from a bounded broadcast table), then per application:
+    the dated rate from the rate table), then per application:
     a sum over the three-way join equals the sum of per-collateral sums, and
     the large relation is joined to one row per collateral.
     """
     g = valid(garantias).select("nrogarantia", "gar_moneda", "gar_fecha")
+    # one balance row per collateral: summed before the join (partial
+    # aggregation), so a collateral with many balance rows is no hot join key
     bal = (valid(saldos_garantia).where(F.col("c9314") == 1)
-           .select(F.col("cuenta").alias("nrogarantia"), "c1604"))
+           .groupBy(F.col("cuenta").alias("nrogarantia")).agg(F.sum("c1604").alias("c1604")))
     from ..functions.fx import rate_by_date
-    rated = rate_by_date(g.join(bal, "nrogarantia"), "gar_fecha", fx_rates, out="_fx_rate")
+    rated = rate_by_date(g.join(bal, "nrogarantia"), "gar_fecha", fx_rates, out="_fx_rate",
+                         used=F.col("gar_moneda") == 2)
     neg = -F.col("c1604")
     value = (F.when(F.col("gar_moneda") == 1, neg)
              .when(F.col("gar_moneda") == 2, neg * F.col("_fx_rate"))
@@ -230,19 +233,25 @@ def collateral_text(texts: DataFrame, sep: str = "; ") -> DataFrame:
 # Group-loan coordinator.
 # --------------------------------------------------------------------------
 
-def coordinator(miembros: DataFrame, relacion_grupo: DataFrame,
+def coordinator(loans: DataFrame, miembros: DataFrame, relacion_grupo: DataFrame,
                 persona_documento: DataFrame) -> DataFrame:
-    """Rows (loan, group client) -> coordinator's main document. Several rows
-    per pair are possible (the lookup fans out, as in the reference)."""
+    """(loan, group client) of ``loans`` -> coordinator's main document.
+
+    A member row counts for a loan only if the member coordinates the loan's
+    own client, so the loans' (loan, client) pairs meet the members first and
+    the relations on (person, client) together: the rows stay linear in the
+    members, however many groups one person belongs to. Several rows per loan
+    are possible (the lookup fans out, as in the reference).
+    """
     rel = (valid(relacion_grupo)
-           .where((F.col("c3201") == "S") & (F.col("c3210") == "AC"))
+           .where((F.rtrim("c3201") == "S") & (F.rtrim("c3210") == "AC"))
            .select("c3198", "c3199"))
     doc = (persona_documento
-           .where((F.col("estado") == "A") & (F.col("principal") == "S"))
+           .where((F.rtrim("estado") == "A") & (F.rtrim("principal") == "S"))
            .select(F.col("idpersona").alias("c3199"), "nrodocumento"))
-    return (miembros.select(F.col("saldo_jts_oid").alias(LOAN),
-                            F.col("cod_cliente_m").alias("c3199"))
-            .join(rel, "c3199").join(doc, "c3199")
+    of_loan = loans.select(LOAN, F.col("codigo_cliente").alias("c3198"))
+    members = miembros.select(F.col("saldo_jts_oid").alias(LOAN), F.col("cod_cliente_m").alias("c3199"))
+    return (members.join(of_loan, LOAN).join(rel, ["c3199", "c3198"]).join(doc, "c3199")
             .select(LOAN, F.col("c3198").alias("coord_client"),
                     F.col("nrodocumento").alias("coord_document")))
 

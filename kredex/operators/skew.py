@@ -6,9 +6,8 @@ collateral values) do not qualify: the aggregate's own shuffle already
 partitions that side. For those joins the hot keys are split explicitly:
 
 1. Keys whose row count on the large side exceeds ``rows_per_task`` are hot.
-   There are at most ``rows(large) / rows_per_task`` of them; the broadcast
-   list is moreover capped at the ``MAX_HOT_KEYS`` hottest ones (a proven
-   size bound, no extra job).
+   There are at most ``rows(large) / rows_per_task`` of them, which bounds the
+   broadcast list.
 2. The large side's rows of a hot key are spread over
    ``ceil(count / rows_per_task)`` salts (a hash of the row's id columns);
    other keys take salt 0.
@@ -24,8 +23,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 2_000_000
-MAX_SALTS = 4096
-MAX_HOT_KEYS = 200_000
 
 SALT = "_salt"
 SALTS = "_salts"
@@ -42,7 +39,7 @@ def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
 def hot_keys(counts: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """(keys..., _salts) for the keys whose large-side count (column ``_n``)
     needs more than one task."""
-    n_salts = F.least(F.ceil(F.col(COUNT) / F.lit(rows_per_task)), F.lit(MAX_SALTS)).cast("int")
+    n_salts = F.ceil(F.col(COUNT) / F.lit(rows_per_task)).cast("int")
     hot = F.col(COUNT) > rows_per_task
     for k in keys:          # a NULL key never joins
         hot = hot & F.col(k).isNotNull()
@@ -63,13 +60,9 @@ def split_hot_keys(large: DataFrame, per_key: DataFrame, keys: list[str], how: s
         raise ValueError("split_hot_keys supports inner and left joins")
     if counts is None:
         counts = key_counts(large, keys)
-    # Bounded by construction: the hottest MAX_HOT_KEYS keys in a total
-    # order (both join sides must see the same list). A hot key left out
-    # simply takes salt 0 on both sides: the join stays exact.
-    hot = (hot_keys(counts, keys, rows_per_task)
-           .orderBy(F.col(SALTS).desc(), *[F.col(k).asc() for k in keys])
-           .limit(MAX_HOT_KEYS))
-    hot = F.broadcast(hot)
+    # At most rows(large) / rows_per_task keys: a few thousand short rows at
+    # any size this is run at, which is the proof for the broadcast.
+    hot = F.broadcast(hot_keys(counts, keys, rows_per_task))
     salt = F.when(F.col(SALTS).isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*[F.col(c) for c in id_cols]), F.col(SALTS)).cast("int"))
     # Partition explicitly on (key, salt): the join itself may reuse an

@@ -30,7 +30,7 @@ def instalment_col():
 def id_number_col():
     group = X.blank_eq("tipo_prestamo", X.GROUP_LOAN)
     return (F.when(group, F.col("coord_document"))
-            .when(F.col("tipo_persona") == X.LEGAL_PERSON, F.col("numero_ruc"))
+            .when(X.blank_eq("tipo_persona", X.LEGAL_PERSON), F.col("numero_ruc"))
             .otherwise(F.col("numero_documento")))
 
 
@@ -39,7 +39,7 @@ def person_type_col():
     coord_type = F.when(F.col("coord_document").isNotNull() | F.col("coord_client").isNotNull(),
                         F.lit(X.PERSON_NATURAL))
     return (F.when(group, coord_type)
-            .when(~group & (F.col("tipo_persona") == X.LEGAL_PERSON), F.lit(X.PERSON_LEGAL))
+            .when(~group & (X.blank_eq("tipo_persona", X.LEGAL_PERSON)), F.lit(X.PERSON_LEGAL))
             .otherwise(F.lit(X.PERSON_NATURAL)))
 
 

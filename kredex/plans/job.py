@@ -23,6 +23,8 @@ def run_extract(spark: SparkSession, root: str, out: str, *, tc: Decimal | str |
                 reject_path: str | None = None) -> RunParams:
     """Build and publish the extract of the cutoff named in the source's
     parameter table; optionally export it as delimited text."""
+    if policy == "quarantine" and not reject_path:
+        raise ValueError("the quarantine policy needs a path for the rejected rows")
     configure(spark)
     base = TableSource(spark, root)
     p = RunParams.resolve(base["parametros"], base["maestro"],
@@ -30,7 +32,7 @@ def run_extract(spark: SparkSession, root: str, out: str, *, tc: Decimal | str |
     src = TableSource(spark, root, cutoff=p.cutoff.date())
     # quarantine: an out-of-range decimal rejects its row instead of the job
     result = build_extract(src, p, with_generated=True, checked=(policy == "quarantine"))
-    pub.publish(result, out, policy=policy, reject_path=reject_path)
+    pub.publish(result, out, p, policy=policy, reject_path=reject_path)
     if export_path:
         pub.export_text(pub.read_partition(spark, out, p.cutoff, p.version), export_path)
     return p
@@ -53,6 +55,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--tc")
     ap.add_argument("--policy", default="strict", choices=["strict", "quarantine"])
     a = ap.parse_args(argv)
+    if a.policy == "quarantine" and not a.rejects:
+        ap.error("--policy quarantine needs --rejects")
     spark = SparkSession.builder.appName("kredex-extract").getOrCreate()
     p = run_extract(spark, a.root, a.out, tc=a.tc, policy=a.policy,
                     export_path=a.export, reject_path=a.rejects)

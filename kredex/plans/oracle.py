@@ -377,4 +377,8 @@ from (select saldo_jts_oid, numero_cuota, c2302, cast(c2302 as date) as d from p
     out["dq_quarantine"] = statement(REASONS, ctes=EXTRACT_CTE)
     good = f"(select * from extract where {KEY} not in (select {KEY} from ({REASONS})))"
     out["publish_partition_overwrite"] = statement(_exported(good), ctes=EXTRACT_CTE)
+    failed = f"{KEY} in (select {KEY} from ({REASONS}))"
+    out["publish_rerun"] = statement(
+        f"select {KEY}, Interno_ControlVersion as version, if({failed}, 'rejects', 'result') as shown_in "
+        f"from extract where {KEY} % 2 = 0", ctes=EXTRACT_CTE)
     return out

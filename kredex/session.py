@@ -6,8 +6,8 @@ given and only the SQL settings the engine relies on are applied to it.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -50,18 +50,29 @@ def build_local(cpus: int | str = 8, shuffle_partitions: int | None = None,
     return configure(spark)
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; only when the
-    session names none (local tests) a scratch folder is set."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="kredex-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``, or
+    the one set through ``setCheckpointDir``. Only a local master (tests) may
+    go without and then gets a scratch folder; elsewhere that is an error, as
+    executors do not share the driver's disk."""
+    set_by_call = spark.sparkContext._jsc.sc().getCheckpointDir()
+    d = (spark.conf.get("spark.checkpoint.dir", None)
+         or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+         or (set_by_call.get() if set_by_call.isDefined() else None))
+    if d:
+        return d.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="kredex-shared-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for intermediate tables."""
-    return os.path.join(checkpoint_dir(spark), name)
+    """A new path under the shared folder for an intermediate table."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table (by the file system that holds it)."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -86,3 +86,15 @@ def test_parameter_reads(spark):
     with pytest.raises(ParameterError):
         single_value(two, "fechaproceso")
     assert round_to_minute(dt.datetime(2018, 1, 1, 0, 0, 29)) == dt.datetime(2018, 1, 1, 0, 0)
+
+
+def test_padded_codes(spark):
+    from pyspark.sql import functions as F
+
+    from kredex.functions import exprs as X
+    from kredex.plans.columns import person_type_col
+    rows = spark.createDataFrame([("A ", "J ", "INDIVIDUAL"), ("E", "J", "INDIVIDUAL "), ("", "N", "INDIVIDUAL")],
+                                 "g string, tipo_persona string, tipo_prestamo string") \
+        .withColumn("coord_document", F.lit(None).cast("string")).withColumn("coord_client", F.lit(None).cast("bigint"))
+    got = [tuple(r) for r in rows.select(X.grade_to_class("g"), person_type_col()).collect()]
+    assert got == [(1, "Juridica"), (5, "Juridica"), (0, "Natural")]

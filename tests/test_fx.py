@@ -1,5 +1,5 @@
-"""FX lookup by date: exact match, as-of with gaps and a tail, and the
-size check in front of the broadcast."""
+"""FX lookup by date: exact match, as-of with gaps and a tail, repeated
+dates, and no job while the join is built."""
 
 import datetime as dt
 from decimal import Decimal as D
@@ -33,17 +33,25 @@ def test_as_of(spark):
                    4: D("31.0000"), 5: D("32.0000"), 6: D("32.0000"), 7: None}
 
 
-def test_broadcast_only_within_bound(spark):
-    rates = _rates(spark)
-    small = fx.bounded_broadcast(rates, 10)
-    big = fx.bounded_broadcast(rates, 2)
-    rows = _rows(spark).selectExpr("i", "cast(d as date) as fecha")
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_repeated_date_raises_only_where_used(spark):
+    import pytest
+    twice = _rates(spark).union(spark.createDataFrame([(dt.date(2018, 1, 5), D("99.0000"))],
+                                                      "fecha date, tipo_cambio decimal(8,4)"))
+    rows = _rows(spark)
+    for asof in (False, True):
+        out = fx.rate_by_date(rows, "d", twice, asof=asof)
+        assert out.where("i in (0, 1, 5, 7)").count() == 4
+        with pytest.raises(Exception, match="exchange rate of a date"):
+            out.where("i = 3").collect()
+
+
+def test_no_job_while_the_join_is_built(spark):
+    tracker = spark.sparkContext.statusTracker()
+    rows, rates = _rows(spark), _rates(spark)
+    spark.sparkContext.setJobGroup("fx-build", "fx")
     try:
-        p_small = rows.join(small, "fecha")._jdf.queryExecution().executedPlan().toString()
-        p_big = rows.join(big, "fecha")._jdf.queryExecution().executedPlan().toString()
+        fx.rate_by_date(rows, "d", rates)
+        fx.rate_by_date(rows, "d", rates, asof=True)
+        assert list(tracker.getJobIdsForGroup("fx-build")) == []
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
-    assert "BroadcastHashJoin" in p_small
-    assert "BroadcastHashJoin" not in p_big
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

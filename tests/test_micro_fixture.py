@@ -317,9 +317,10 @@ def test_export_text(published, spark):
     files = glob.glob(os.path.join(published["export"], "part-*"))
     text = "".join(open(f).read() for f in files)
     lines = [l for l in text.splitlines() if l]
-    header = [l for l in lines if l.startswith("Cod_Cliente|")]
-    assert len(header) >= 1 and len(header[0].split("|")) == 58
-    body = [l for l in lines if not l.startswith("Cod_Cliente|")]
+    header = open(glob.glob(published["export"] + ".header/part-*")[0]).read().splitlines()
+    assert len(header) == 1 and len(header[0].split("|")) == 58
+    body = lines
+    assert not any(l.startswith("Cod_Cliente|") for l in body)
     assert len(body) == len(published["rows"])
     assert any(l.startswith('"111"|') and "|LOTEA|" in l for l in body)
 
@@ -341,7 +342,89 @@ def test_written_off_with_two_disbursements_fails(spark):
     work = tempfile.mkdtemp(prefix="kredex-fixture-")
     write_fixture(spark, f"{work}/src", saneado_12=True)
     with pytest.raises(Exception, match="more than 1 value"):
-        run_extract(spark, f"{work}/src", f"{work}/out", policy="quarantine")
+        run_extract(spark, f"{work}/src", f"{work}/out", policy="quarantine", reject_path=f"{work}/rej")
+
+
+def _small(spark, run, keys):
+    """Result-like rows: odd keys pass, even keys have a NULL."""
+    from pyspark.sql import functions as F
+    rows = spark.createDataFrame([(k, None if k % 2 == 0 else "x") for k in keys], "Cod_Credito int, Sector string")
+    return (rows.withColumn("Cod_Credito", F.col("Cod_Credito").cast("decimal(15,0)"))
+            .withColumn("Interno_FechaCorte", run.cutoff_col).withColumn("Interno_ControlVersion", run.version_col))
+
+
+def test_rerun_replaces_its_partition_even_by_nothing(spark, published):
+    from dataclasses import replace
+
+    from kredex.plans.publish import publish
+    run = published["p"]
+    other = replace(run, version="other")
+    out, rej = f"{published['work']}/rerun", f"{published['work']}/rerun-rejects"
+
+    def go(r, keys):
+        publish(_small(spark, r, keys), out, r, policy="quarantine", reject_path=rej)
+
+    def shown():
+        return [sorted((str(x.Interno_ControlVersion), int(x.Cod_Credito)) for x in spark.read.parquet(p).collect())
+                for p in (out, rej)]
+
+    v = run.version
+    go(other, range(100, 104))
+    rest = [[("other", 101), ("other", 103)], [("other", 100), ("other", 102)]]
+    go(run, range(8))
+    assert shown() == [sorted([(v, 1), (v, 3), (v, 5), (v, 7)] + rest[0]), sorted([(v, 0), (v, 2), (v, 4), (v, 6)] + rest[1])]
+    go(run, [1, 3])                      # no rejects any more
+    assert shown() == [sorted([(v, 1), (v, 3)] + rest[0]), rest[1]]
+    go(run, [2, 4])                      # only rejects
+    assert shown() == [rest[0], sorted([(v, 2), (v, 4)] + rest[1])]
+    go(run, [])
+    assert shown() == rest
+
+
+def test_quarantine_needs_a_reject_path(spark, published):
+    from kredex.plans.job import main
+    from kredex.plans.publish import publish
+    run = published["p"]
+    with pytest.raises(ValueError, match="rejected rows"):
+        publish(_small(spark, run, [1, 2]), f"{published['work']}/none", run, policy="quarantine")
+    with pytest.raises(SystemExit):
+        main(["--root", "x", "--out", "y", "--policy", "quarantine"])
+
+
+def test_strict_error_counts_every_reason(spark, published):
+    from kredex.operators.quality import QualityError
+    from kredex.plans.publish import publish
+    run = published["p"]
+    with pytest.raises(QualityError, match="null Sector: 30"):
+        publish(_small(spark, run, range(60)), f"{published['work']}/strict2", run)
+
+
+def test_rejected_decimals_keep_their_raw_value(published, spark):
+    rows = spark.read.parquet(f"{published['work']}/rejects").where("size(raw_values) > 0").collect()
+    assert any(v.startswith("Tasa_efectiva_vigente=") and float(v.split("=")[1]) > 1e11 for r in rows for v in r["raw_values"])
+
+
+def test_staging_is_removed(spark, published, tmp_path, monkeypatch):
+    from kredex.plans import publish as P
+    seen = []
+    monkeypatch.setattr(P, "scratch_path", lambda s, n: seen.append(f"{tmp_path}/{n}") or seen[-1])
+    P.publish(_small(spark, published["p"], [1]), f"{tmp_path}/out", published["p"])
+    assert seen and not any(os.path.exists(p) for p in seen)
+
+
+def test_shared_folder_setting_is_respected(spark, monkeypatch):
+    from kredex import session
+    assert session.shared_folder(spark)
+
+    class Away:
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: None)})
+        sparkContext = type("S", (), {
+            "getConf": staticmethod(lambda: Away.conf), "master": "spark://host:7077",
+            "_jsc": type("J", (), {"sc": staticmethod(lambda: type("X", (), {"getCheckpointDir": staticmethod(
+                lambda: type("O", (), {"isDefined": staticmethod(lambda: False)}))}))})})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Away)
 
 
 def test_command_line_job(spark, capsys):

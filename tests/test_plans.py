@@ -23,8 +23,22 @@ def test_no_cartesian_or_nested_loop(plan):
     assert "BroadcastNestedLoopJoin" not in plan
 
 
-def test_lock_filter_pushed_to_scans(plan):
-    assert "PushedFilters: [IsNotNull(o_orderkey)" in plan or "PushedFilters" in plan
+def test_lock_filter_pushed_to_scans(spark):
+    """On source folders the lock is a stored column; its filter reaches the
+    scan of the schedule."""
+    import tempfile
+
+    from kredex.operators import facts
+    from kredex.params import ntz_literal
+    from kredex.sources.tables import TableSource
+    from test_micro_fixture import write_fixture
+    import datetime as dt
+    root = tempfile.mkdtemp(prefix="kredex-push-") + "/src"
+    write_fixture(spark, root)
+    src = TableSource(spark, root, cutoff=dt.date(2018, 10, 31))
+    p = facts.schedule_facts(src["plan_pagos"], ntz_literal(dt.datetime(2018, 10, 31)))
+    text = p._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(tz_lock,0\)", text), text
 
 
 def test_schedule_scan_is_pruned(spark, sf_dir):
@@ -87,21 +101,17 @@ def test_one_scan_per_child_table(spark):
                   "relacion_garantia", "garantias", "garantia_texto", "miembros",
                   "relacion_grupo", "persona_documento", "solicitudes", "clientes", "monedas"):
         assert scans[child] == 1, (child, scans)
-    assert scans["saldos"] == 2 and scans["universe"] == 2, scans
+    # the third universe scan reads three narrow columns for the coordinators
+    assert scans["saldos"] == 2 and scans["universe"] == 3, scans
 
 
 def test_quarantine_split_does_not_shuffle_the_result(spark):
-    """Good and rejected rows are split by a filter: the only shuffle is the
-    key-only duplicate count, whose (checked) list is broadcast."""
+    """Good and rejected rows are split by a filter; the written list of
+    duplicated keys is small in bytes, so Spark broadcasts it."""
     from kredex.operators.quality import enforce
     df = spark.range(1000).selectExpr("cast(id as decimal(15,0)) as Cod_Credito",
                                       "case when id % 7 = 0 then null else 'x' end as Sector")
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        good, rejected = enforce(df, "quarantine")
-        plan = good._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-        assert good.count() == 1000 - 143 and rejected.count() == 143
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    good, rejected = enforce(df, "quarantine")
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert good.count() == 1000 - 143 and rejected.count() == 143

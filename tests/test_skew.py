@@ -104,3 +104,28 @@ def test_salted_join_partitions_on_key_and_salt(spark):
     smj = plan[plan.index("SortMergeJoin"):]
     assert len(re.findall(r"Exchange hashpartitioning\(k#\d+L?, _salt#\d+", smj)) >= 1
     assert out.count() == 2000
+
+
+def test_coordinator_rows_stay_linear(spark):
+    """One person with many memberships and many groups: a loan meets only the
+    relations of its own client."""
+    n = 400
+    loans = spark.createDataFrame([(i, i) for i in range(n)], "jts_oid bigint, codigo_cliente bigint")
+    members = spark.createDataFrame([(i, 7) for i in range(n)], "saldo_jts_oid bigint, cod_cliente_m bigint")
+    rel = spark.createDataFrame([(i, 7, "S ", "AC", 0) for i in range(n)],
+                                "c3198 bigint, c3199 bigint, c3201 string, c3210 string, tz_lock int")
+    doc = spark.createDataFrame([(7, "D7", "A ", "S")], "idpersona bigint, nrodocumento string, estado string, principal string")
+    out = facts.coordinator(loans, members, rel, doc)
+    assert out.count() == n
+    assert {r.coord_document for r in out.collect()} == {"D7"}
+
+
+def test_many_hot_keys_and_many_salts(spark):
+    """No cap on hot keys or salts: every hot key is split as far as its rows ask."""
+    from kredex.operators.skew import COUNT, hot_keys, split_hot_keys
+    big = spark.range(20000).selectExpr("id", "id % 1000 as k")
+    per_key = spark.range(1000).selectExpr("id as k", "concat('v', id) as v")
+    counts = big.groupBy("k").agg(F.count(F.lit(1)).alias(COUNT))
+    assert hot_keys(counts, ["k"], 1).where("_salts = 20").count() == 1000
+    out = split_hot_keys(big, per_key, ["k"], "inner", id_cols=["id"], rows_per_task=1)
+    assert out.count() == 20000 and out.where("v <> concat('v', k)").count() == 0
