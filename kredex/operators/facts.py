@@ -9,10 +9,9 @@ key holding a large share of the rows is reduced per task before the shuffle
 and never gathered raw in one task.
 
 Greatest-per-group lookups (``TOP 1 ... ORDER BY``) use ``max_by``/``min_by``
-with a condition on the *key*: rows failing the lookup's filter get a NULL
-key and are skipped. Keys are structs so that a NULL date inside still ranks
-(a NULL field sorts first, as in SQL Server's ascending order) and the
-struct's later fields give a total order for ties.
+with a condition on the *key*: rows failing the lookup's filter get a NULL key
+and are skipped. Keys are flat: a first level groups by date, so the second
+only needs the date (NULL as a floor value) and the first only the tie-break.
 """
 
 from __future__ import annotations
@@ -28,6 +27,11 @@ def valid(df: DataFrame) -> DataFrame:
     return df.where(F.col("tz_lock") == 0)
 
 
+def no_date() -> Column:
+    """Ranks a NULL date below every date, as SQL Server's order does."""
+    return F.expr("timestamp_ntz '0001-01-01 00:00:00'")
+
+
 def _when(cond: Column, value: Column | str) -> Column:
     return F.when(cond, F.col(value) if isinstance(value, str) else value)
 
@@ -54,26 +58,32 @@ def schedule_facts(plan_pagos: DataFrame, cutoff: Column) -> DataFrame:
     due = F.col("c2302")
     cap_out = F.col("c2309") > 0
     int_out = F.col("c2310") > 0
-    overdue = due < cutoff
+    pending = (F.col("c2309") + F.col("c2310")) > 0
     amount = F.col("c2304") + F.col("c2305")
-    pending_key = F.when((F.col("c2309") + F.col("c2310")) > 0,
-                         F.struct(due.alias("d"), amount.alias("a")))
-    return (valid(plan_pagos)
-            .groupBy(F.col("saldo_jts_oid").alias(LOAN))
-            .agg(F.max(due).alias("max_due"),
-                 F.sum(_when(cap_out & (due >= cutoff), "c2309")).alias("principal_current"),
-                 F.sum(_when(cap_out & overdue, "c2309")).alias("principal_overdue"),
-                 F.min(_when(cap_out, due)).alias("next_principal_due"),
-                 F.min(_when(int_out, due)).alias("next_interest_due"),
-                 F.min(_when(cap_out & overdue, due)).alias("oldest_overdue_principal"),
-                 F.min(_when(int_out & overdue, due)).alias("oldest_overdue_interest"),
-                 F.min(pending_key).alias("first_pending"),
-                 F.max(pending_key).alias("last_pending"))
-            .select(LOAN, "max_due", "principal_current", "principal_overdue",
-                    "next_principal_due", "next_interest_due",
-                    "oldest_overdue_principal", "oldest_overdue_interest",
-                    F.col("first_pending.a").alias("first_pending_amount"),
-                    F.col("last_pending.a").alias("last_pending_amount")))
+    # two levels with flat keys, (loan, due date) then loan: both are hash
+    # aggregates, and one loan's rows spread over many tasks
+    per_date = (valid(plan_pagos)
+                .groupBy(F.col("saldo_jts_oid").alias(LOAN), due.alias("due"))
+                .agg(F.sum(_when(cap_out, "c2309")).alias("principal"),
+                     F.count(_when(cap_out, F.lit(1))).alias("cap_rows"),
+                     F.count(_when(int_out, F.lit(1))).alias("int_rows"),
+                     F.count(_when(pending, F.lit(1))).alias("pending_rows"),
+                     F.min(_when(pending, amount)).alias("least"),
+                     F.max(_when(pending, amount)).alias("most")))
+    d = F.col("due")
+    overdue = d < cutoff
+    cap, intr = F.col("cap_rows") > 0, F.col("int_rows") > 0
+    ranked = _when(F.col("pending_rows") > 0, F.coalesce(d, no_date()))
+    return (per_date.groupBy(LOAN)
+            .agg(F.max(d).alias("max_due"),
+                 F.sum(_when(d >= cutoff, "principal")).alias("principal_current"),
+                 F.sum(_when(overdue, "principal")).alias("principal_overdue"),
+                 F.min(_when(cap, d)).alias("next_principal_due"),
+                 F.min(_when(intr, d)).alias("next_interest_due"),
+                 F.min(_when(cap & overdue, d)).alias("oldest_overdue_principal"),
+                 F.min(_when(intr & overdue, d)).alias("oldest_overdue_interest"),
+                 F.min_by("least", ranked).alias("first_pending_amount"),
+                 F.max_by("most", ranked).alias("last_pending_amount")))
 
 
 # --------------------------------------------------------------------------
@@ -98,14 +108,19 @@ def history_facts(historia: DataFrame) -> DataFrame:
     (loan, value date) so one loan's rows spread over many tasks; the second
     level folds the per-date rows.
     """
-    h = valid(historia)
+    # kinds no rule reads are left at the scan; the first letter can be pushed
+    # to it, the blank-padded comparison below cannot
+    read = [F.col("tipomov").startswith(k) for k in "PAIS"]
+    h = valid(historia).where(read[0] | read[1] | read[2] | read[3])
     kind = F.rtrim("tipomov")          # blank-padded equality
     pay = kind == "P"
     disb = kind.isin("A", "I")
     spread = F.col("tasamora") - F.col("tasainteres")
     rate_cand = disb | ((kind == "S") & (F.col("tasainteres") > 0))
     spread_cand = disb | ((kind == "S") & (spread > 0))
-    mov = F.struct(F.col("movimiento").alias("m"))
+    # flat ordering keys (a NULL ranks below every value), so both levels are
+    # hash aggregates: within a date the movement id, across dates the date
+    mov = F.coalesce(F.col("movimiento").cast("bigint"), F.lit(-(1 << 63)))
     per_date = (
         h.groupBy(F.col("saldos_jts_oid").alias(LOAN), "fechavalor")
         .agg(F.max(_when(pay & (F.col("capitalpagado") > 0), F.lit(1))).alias("paid_principal"),
@@ -114,22 +129,20 @@ def history_facts(historia: DataFrame) -> DataFrame:
              F.count(_when(disb, F.lit(1))).alias("disb_rows"),
              F.max(_when(disb, "tasainteres")).alias("disb_rate"),
              F.max_by("tasainteres", F.when(rate_cand, mov)).alias("rate"),
-             F.max(F.when(rate_cand, mov)).alias("rate_mov"),
+             F.count(_when(rate_cand, F.lit(1))).alias("rate_rows"),
              F.max_by(spread, F.when(spread_cand, mov)).alias("spread"),
-             F.max(F.when(spread_cand, mov)).alias("spread_mov")))
+             F.count(_when(spread_cand, F.lit(1))).alias("spread_rows")))
     d = F.col("fechavalor")
+    ranked = F.coalesce(d, no_date())
     return (
         per_date.groupBy(LOAN)
         .agg(F.max(_when(F.col("paid_principal") == 1, d)).alias("last_principal_payment"),
              F.max(_when(F.col("interest_rows") > 0, d)).alias("last_interest_payment"),
-             F.max_by("interest_sum", F.when(F.col("interest_rows") > 0,
-                                             F.struct(d.alias("d")))).alias("interest_paid_last_date"),
+             F.max_by("interest_sum", _when(F.col("interest_rows") > 0, ranked)).alias("interest_paid_last_date"),
              F.sum("disb_rows").alias("disbursement_rows"),
              F.max("disb_rate").alias("disbursement_rate"),
-             F.max_by("rate", F.when(F.col("rate_mov").isNotNull(),
-                                     F.struct(d.alias("d"), F.col("rate_mov.m").alias("m")))).alias("current_rate"),
-             F.max_by("spread", F.when(F.col("spread_mov").isNotNull(),
-                                       F.struct(d.alias("d"), F.col("spread_mov.m").alias("m")))).alias("current_spread")))
+             F.max_by("rate", _when(F.col("rate_rows") > 0, ranked)).alias("current_rate"),
+             F.max_by("spread", _when(F.col("spread_rows") > 0, ranked)).alias("current_spread")))
 
 
 # --------------------------------------------------------------------------
@@ -144,12 +157,11 @@ def original_schedule_facts(plan_original: DataFrame) -> DataFrame:
     n = F.col("numero_cuota")
     later_capital = (F.col("tz_lock") == 0) & (F.col("capital") > 0) & (n > 1)
     io_first = (n == 1) & (F.col("capital") == 0) & (F.col("intereses") > 0)
-    return (plan_original
+    return (plan_original.where(io_first | later_capital)
             .groupBy(F.col("saldos_jts_oid").alias(LOAN))
-            .agg(F.min(F.when(later_capital, F.struct(F.col("fecha_vencimiento").alias("d"))))
-                 .alias("first_capital"),
+            .agg(F.min(_when(later_capital, F.coalesce("fecha_vencimiento", no_date()))).alias("first_capital"),
                  F.max(_when(io_first, F.lit(1))).alias("interest_only_first"))
-            .select(LOAN, F.col("first_capital.d").alias("first_capital_due"),
+            .select(LOAN, F.nullif("first_capital", no_date()).alias("first_capital_due"),
                     F.col("first_capital").isNotNull().alias("has_later_capital"),
                     "interest_only_first"))
 

@@ -22,7 +22,10 @@ RULES: dict[str, str] = {
     # loans of the report: unlocked balance rows with their universe row
     "loan": """select b.jts_oid as loan, b.moneda as ccy, b.c1620 as opened, b.c1677 as mode_code,
                       b.c1632 as plain_rate, b.c1633 as plain_late_rate, b.c1704 as request,
-                      b.c1803 as holder, u.* exclude (jts_oid),
+                      b.c1803 as holder,
+                      u.* exclude (jts_oid) replace (
+                          rtrim(codigo_estado) as codigo_estado, rtrim(clasificacion_prestamo) as clasificacion_prestamo,
+                          rtrim(calificacion_utilizada) as calificacion_utilizada),
                       case when b.moneda = 1 then cast(1 as decimal(8,4)) else """ + RATE + """ end as to_local
                from saldos b join universe u using (jts_oid) where b.tz_lock = 0""",
     "client": f"""select codigo_cliente, count(codigo_cliente) as loans,
@@ -60,21 +63,21 @@ RULES: dict[str, str] = {
     # movement history
     "payment": """select saldos_jts_oid as loan, max(fechavalor) filter (capitalpagado > 0) as principal_day,
                          max(fechavalor) filter (interespagado > 0) as interest_day
-                  from historia where tipomov = 'P' and tz_lock = 0 group by saldos_jts_oid""",
+                  from historia where rtrim(tipomov) = 'P' and tz_lock = 0 group by saldos_jts_oid""",
     "interest_by_day": """select saldos_jts_oid as loan, fechavalor, sum(interespagado) as paid,
                                  row_number() over (partition by saldos_jts_oid
                                                     order by fechavalor desc nulls last) as back
-                          from historia where tipomov = 'P' and tz_lock = 0 and interespagado > 0
+                          from historia where rtrim(tipomov) = 'P' and tz_lock = 0 and interespagado > 0
                           group by saldos_jts_oid, fechavalor""",
     "disbursed": """select saldos_jts_oid as loan, max(tasainteres) as rate
-                    from historia where tipomov in ('A', 'I') and tz_lock = 0 group by saldos_jts_oid""",
+                    from historia where rtrim(tipomov) in ('A', 'I') and tz_lock = 0 group by saldos_jts_oid""",
     "latest_rate": """select saldos_jts_oid as loan, tasainteres as rate
-                      from HISTORY where tz_lock = 0 and (tipomov in ('A', 'I') or (tipomov = 'S' and tasainteres > 0))
+                      from HISTORY where tz_lock = 0 and (rtrim(tipomov) in ('A', 'I') or (rtrim(tipomov) = 'S' and tasainteres > 0))
                       qualify row_number() over (partition by saldos_jts_oid
                           order by fechavalor desc nulls last, movimiento desc nulls last) = 1""",
     "latest_spread": """select saldos_jts_oid as loan, tasamora - tasainteres as spread
                         from HISTORY where tz_lock = 0
-                          and (tipomov in ('A', 'I') or (tipomov = 'S' and tasamora - tasainteres > 0))
+                          and (rtrim(tipomov) in ('A', 'I') or (rtrim(tipomov) = 'S' and tasamora - tasainteres > 0))
                         qualify row_number() over (partition by saldos_jts_oid
                             order by fechavalor desc nulls last, movimiento desc nulls last) = 1""",
     "accrual": """select saldo_jts_oid as loan, interes_deveng_vigente_cont as running,
@@ -99,7 +102,7 @@ RULES: dict[str, str] = {
                  from relacion_grupo r
                  join miembros m on m.cod_cliente_m = r.c3199
                  join persona_documento d on d.idpersona = r.c3199
-                 where r.tz_lock = 0 and r.c3201 = 'S' and r.c3210 = 'AC' and d.estado = 'A' and d.principal = 'S'""",
+                 where r.tz_lock = 0 and rtrim(r.c3201) = 'S' and rtrim(r.c3210) = 'AC' and d.estado = 'A' and d.principal = 'S'""",
 }
 
 
@@ -316,7 +319,10 @@ def _typed(name: str) -> str:
 
 
 EXTRACT = over_loans({c: _typed(c) for c in RESULT}, ("solicitudes", "clientes"))
-RAW_DECIMALS = over_loans({c: RESULT[c] for c in RESULT if TYPES[c].startswith("decimal")}, ("solicitudes", "clientes"))
+# dq_decimal_range scales the provision of every thirteenth loan out of range
+SCALED = "if(l.nro_prestamo % 13 = 0, cast(l.provision_mn as decimal(38,2)) * 100000000000000, cast(l.provision_mn as decimal(38,2)))"
+RAW_DECIMALS = over_loans({c: SCALED if c == "Provision" else RESULT[c] for c in RESULT if TYPES[c].startswith("decimal")},
+                          ("solicitudes", "clientes"))
 EXTRACT_CTE = (("extract", EXTRACT),)
 
 

@@ -50,7 +50,7 @@ _add(_v("saldos", "orders", [
     ("jts_oid", "o_orderkey"),
     ("moneda", "cast(1 + o_orderkey % 3 as int)"),
     ("c1620", "o_orderdate"),
-    ("c1677", "case o_orderstatus when 'O' then 'F' when 'P' then 'H' else '' end"),
+    ("c1677", "case when o_orderkey % 8 = 7 then 'C ' when o_orderkey % 8 = 6 then 'Z' when o_orderstatus = 'O' then 'F ' when o_orderstatus = 'P' then 'H' else '' end"),
     ("c1632", f"cast(12 + o_orderkey % 24 as {DEC4})"),
     ("c1633", f"cast(15 + o_orderkey % 24 as {DEC4})"),
     ("c1704", "o_orderkey"),
@@ -73,8 +73,8 @@ _add(_v("universe", "orders join customer on o_custkey = c_custkey", [
     ("saldo_mo", f"cast(o_totalprice as {DEC2})"),
     ("saldo_mn", f"cast(cast(o_totalprice as {DEC2}) * 2 as {DEC2})"),
     ("situacion_prestamo", "case o_orderstatus when 'F' then 'Saneado' when 'P' then 'Cobro Judicial' else 'Vigente' end"),
-    ("codigo_estado", "case o_orderstatus when 'F' then 'C' when 'P' then 'E' else 'A' end"),
-    ("producto", "case when c_mktsegment = 'HOUSEHOLD' then 'PRESTAMO COLABORADORES 1' else c_mktsegment end"),
+    ("codigo_estado", "case o_orderstatus when 'F' then 'C ' when 'P' then 'E' else 'A' end"),
+    ("producto", "case when c_mktsegment = 'HOUSEHOLD' then 'Prestamo Colaboradores 1' else c_mktsegment end"),
     ("tasa_interes", f"cast(12 + o_orderkey % 24 as {DEC4})"),
     ("intereses_saneados_mn", f"cast(o_orderkey % 1000 as {DEC2})"),
     ("devengado_int_cte_mn", f"cast(o_orderkey % 700 as {DEC2})"),
@@ -83,12 +83,12 @@ _add(_v("universe", "orders join customer on o_custkey = c_custkey", [
     ("cantidad_cuotas_vencidas", "cast(o_orderkey % 5 as int)"),
     ("fecha_desembolso", "o_orderdate"),
     ("fecha_empeso_mora_capital", "case when o_orderstatus = 'O' then timestamp '1900-01-01 00:00:00' else o_orderdate end"),
-    ("clasificacion_prestamo", "substring('ABCDEZ', cast(1 + o_orderkey % 6 as int), 1)"),
-    ("calificacion_utilizada", "substring('ABCDEZ', cast(1 + o_orderkey % 5 as int), 1)"),
+    ("clasificacion_prestamo", "concat(substring('ABCDEZ', cast(1 + o_orderkey % 6 as int), 1), case when o_orderkey % 4 = 0 then '  ' else '' end)"),
+    ("calificacion_utilizada", "concat(substring('ABCDEZ', cast(1 + o_orderkey % 5 as int), 1), case when o_orderkey % 3 = 0 then ' ' else '' end)"),
     # descriptive pass-through fields
     ("descripcion_tipo_credito", "case when o_orderpriority = '1-URGENT' then 'COMERCIAL' else 'CONSUMO' end"),
     ("producto_agrupador", "c_mktsegment"),
-    ("sector", "case when c_nationkey % 2 = 0 then 'URBANO' else 'RURAL' end"),
+    ("sector", "case when o_orderkey % 211 = 5 then 'ZONA DE RESERVA NATURAL CON NOMBRE MAS LARGO QUE CINCUENTA LETRAS' when c_nationkey % 2 = 0 then 'URBANO' else 'RURAL' end"),
     ("frecuencia_pago", "case when o_orderkey % 4 = 0 then 'TRIMESTRAL' else 'MENSUAL' end"),
     ("tipo_garantia", "case when o_orderkey % 5 = 0 then ' ' when o_orderkey % 5 = 1 then 'PRENDARIA' else 'FIDUCIARIA' end"),
     ("desc_sucursal_prestamo", "concat('SUCURSAL ', cast(c_nationkey as varchar(20)))"),
@@ -133,10 +133,33 @@ _add(_v("gastos", "lineitem", [
     ("importe_gastos", f"cast(l_quantity as {DEC2})"),
 ]))
 
-# Movement history. Every test loan has many signup/other events, i.e. many
-# disbursement ('A'/'I') rows, while the reference reads the disbursement rate
-# as a single-row scalar. The adapter keeps the least event id among them as
-# the disbursement and labels the other ones 'X', a kind no rule reads.
+# Movement history of most loans: one disbursement per order by construction,
+# as the report reads its rate as a single value, and payments and rate changes
+# from the order's lines. Kinds are blank-padded for some rows.
+_add(_v("historia_orden", "orders", [
+    ("saldos_jts_oid", "o_orderkey"),
+    ("tipomov", "case o_orderkey % 4 when 0 then 'A' when 1 then 'A ' when 2 then 'I' else 'I ' end"),
+    ("fechavalor", "o_orderdate"),
+    ("capitalpagado", f"cast(0 as {DEC2})"),
+    ("interespagado", f"cast(0 as {DEC2})"),
+    ("tasainteres", f"cast(10 + o_orderkey % 21 as {DEC4})"),
+    ("tasamora", f"cast(10 + o_orderkey % 21 + o_orderkey % 3 as {DEC4})"),
+    ("movimiento", "o_orderkey"),
+    ("tz_lock", "case when o_orderkey % 31 = 30 then 1 else 0 end"),
+]))
+_add(_v("historia_linea", "lineitem", [
+    ("saldos_jts_oid", "l_orderkey"),
+    ("tipomov", "case l_returnflag when 'A' then 'S' when 'R' then 'P' else 'P ' end"),
+    ("fechavalor", "case when l_partkey % 19 = 0 then null else l_shipdate end"),
+    ("capitalpagado", f"case when l_returnflag = 'R' then cast(l_extendedprice as {DEC2}) else cast(0 as {DEC2}) end"),
+    ("interespagado", f"case when l_returnflag = 'N' or l_linenumber = 2 then cast(l_quantity as {DEC2}) else cast(0 as {DEC2}) end"),
+    ("tasainteres", f"cast(l_partkey % 30 as {DEC4})"),
+    ("tasamora", f"cast(l_partkey % 30 + l_partkey % 4 as {DEC4})"),
+    ("movimiento", "1000000000 + l_partkey"),
+    ("tz_lock", "case when l_partkey % 25 = 24 then 1 else 0 end"),
+]))
+# Movements of few loans with many disbursements each: for the latest-rate
+# queries, which do not read the single disbursement.
 _add(_v("historia_raw", "events", [
     ("saldos_jts_oid", "user_id"),
     ("tipomov", "case event_type when 'purchase' then 'P' when 'click' then 'P' when 'signup' then 'A' when 'view' then 'S' else 'I' end"),
@@ -159,15 +182,15 @@ _add(_v("garantias", "part join orders on p_partkey = o_orderkey", [
     ("nrogarantia", "p_partkey"),
     ("gar_moneda", "cast(1 + p_partkey % 4 as int)"),
     ("gar_fecha", "o_orderdate"),
-    ("descripcion", "p_name"),
-    ("tz_lock", "0"),
+    ("descripcion", "case when p_partkey % 7 = 0 then concat(p_name, ' | lote ', cast(p_partkey as varchar(20))) else p_name end"),
+    ("tz_lock", "case when p_partkey % 45 = 44 then 1 else 0 end"),
 ]))
 
 _add(_v("saldos_garantia", "part", [
     ("cuenta", "p_partkey"),
     ("c9314", "case when p_size > 40 then 5 else 1 end"),
     ("c1604", f"cast(-p_retailprice as {DEC2})"),
-    ("tz_lock", "0"),
+    ("tz_lock", "case when p_partkey % 35 = 34 then 1 else 0 end"),
 ]))
 
 _add(_v("tipo_cambio", "orders", [
@@ -196,7 +219,7 @@ _add(_v("solicitudes", "orders", [
     ("c5231", "case when o_orderkey % 9 = 0 then null else o_orderdate end"),
 ], where="o_orderkey % 97 <> 0"))
 
-_add(_v("clientes", "customer", [("c0902", "c_custkey")]))
+_add(_v("clientes", "customer", [("c0902", "c_custkey")], where="c_custkey % 53 <> 52"))
 
 _add(_v("miembros", "orders", [
     ("saldo_jts_oid", "o_orderkey"),
@@ -208,11 +231,11 @@ _add(_v("relacion_grupo", "customer", [
     ("c3198", "c_custkey"),
     ("c3199", "c_custkey"),
     ("c3201", "case when c_custkey % 6 = 0 then 'N' else 'S' end"),
-    ("c3210", "'AC'"),
-    ("tz_lock", "0"),
+    ("c3210", "case when c_custkey % 10 = 0 then 'AC  ' when c_custkey % 10 = 1 then 'BA' else 'AC' end"),
+    ("tz_lock", "case when c_custkey % 33 = 32 then 1 else 0 end"),
 ]))
 
-_add(_v("persona_documento", "customer", [
+_add(_v("documento", "customer", [
     ("idpersona", "c_custkey"),
     ("nrodocumento", "concat('C', cast(c_custkey as varchar(20)))"),
     ("tipodoc", "'CED'"),
@@ -234,24 +257,22 @@ _add(_v("maestro", "region", [
 SHARED_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events")
 
-# SQL for the derived views (history with the single disbursement row, and the
-# collateral text source), shared by both engines.
+# SQL for the derived views, shared by both engines.
 DERIVED_SQL = {
-    "historia": """
-        select saldos_jts_oid,
-               case when tipomov in ('A', 'I') and movimiento <> first_ai then 'X' else tipomov end as tipomov,
-               fechavalor, capitalpagado, interespagado, tasainteres, tasamora, movimiento, tz_lock
-        from historia_raw h
-        left join (select saldos_jts_oid as ai_loan, min(movimiento) as first_ai
-                   from historia_raw where tipomov in ('A', 'I') group by saldos_jts_oid) d
-          on h.saldos_jts_oid = d.ai_loan""",
+    "historia": "select * from historia_orden union all select * from historia_linea",
+    # some persons have two main documents: the coordinator lookup fans out
+    "persona_documento": """
+        select * from documento
+        union all select idpersona, concat('X', nrodocumento), tipodoc, estado, principal
+        from documento where idpersona % 29 = 0""",
     "garantia_texto": """
         select r.nrosolicitud as nro_prestamo, g.nrogarantia as orden, g.descripcion
         from relacion_garantia r join garantias g on r.nrogarantia = g.nrogarantia
         where r.tz_lock = 0 and g.tz_lock = 0""",
 }
 DERIVED_DEPS = {
-    "historia": ("historia_raw",),
+    "historia": ("historia_orden", "historia_linea"),
+    "persona_documento": ("documento",),
     "garantia_texto": ("relacion_garantia", "garantias"),
 }
 
@@ -325,17 +346,11 @@ class TestWorld:
 
     def _build(self, name: str) -> DataFrame:
         if name == "historia":
-            raw = self["historia_raw"]
-            first_ai = (raw.where(F.col("tipomov").isin("A", "I"))
-                        .groupBy("saldos_jts_oid")
-                        .agg(F.min("movimiento").alias("first_ai")))
-            # a loan with a large share of the movements is split over salts
-            from ..operators.skew import split_hot_keys
-            h = split_hot_keys(raw, first_ai, ["saldos_jts_oid"], "left", id_cols=["movimiento"])
-            relabel = F.when(F.col("tipomov").isin("A", "I")
-                             & (F.col("movimiento") != F.col("first_ai")),
-                             F.lit("X")).otherwise(F.col("tipomov"))
-            return h.withColumn("tipomov", relabel).drop("first_ai")
+            return self["historia_orden"].unionByName(self["historia_linea"])
+        if name == "persona_documento":
+            one = self["documento"]
+            second = one.where("idpersona % 29 = 0").withColumn("nrodocumento", F.expr("concat('X', nrodocumento)"))
+            return one.unionByName(second)
         if name == "garantia_texto":
             r = self["relacion_garantia"].where("tz_lock = 0")
             g = self["garantias"].where("tz_lock = 0")

@@ -101,8 +101,9 @@ def test_one_scan_per_child_table(spark):
                   "relacion_garantia", "garantias", "garantia_texto", "miembros",
                   "relacion_grupo", "persona_documento", "solicitudes", "clientes", "monedas"):
         assert scans[child] == 1, (child, scans)
-    # the third universe scan reads three narrow columns for the coordinators
-    assert scans["saldos"] == 2 and scans["universe"] == 3, scans
+    # one wide universe scan; key columns for the lookups and the coordinators,
+    # and the columns of the client totals
+    assert scans["saldos"] == 2 and scans["universe"] == 4, scans
 
 
 def test_quarantine_split_does_not_shuffle_the_result(spark):
@@ -115,3 +116,32 @@ def test_quarantine_split_does_not_shuffle_the_result(spark):
     plan = good._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert good.count() == 1000 - 143 and rejected.count() == 143
+
+
+def test_facts_are_hash_aggregates(spark, sf_dir):
+    """Flat ordering keys: no sort of the largest tables before the combine."""
+    from kredex.operators import facts
+    from kredex.plans.catalog import Ctx
+    c = Ctx(spark, sf_dir)
+    for df in (facts.history_facts(c["historia"]), facts.schedule_facts(c["plan_pagos"], c.p.cutoff_col),
+               facts.original_schedule_facts(c["plan_pagos_original"])):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in text and "HashAggregate" in text
+
+
+def test_wide_universe_is_shuffled_once(spark, sf_dir):
+    """Lookups run on the universe's key columns; its wide rows have one exchange."""
+    df = E.queries()["portfolio_extract"](spark, sf_dir)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.debug.maxToStringFields": "5000"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    wide = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line
+            and "AS analista" in "".join(lines[i + 1:i + 4])]
+    assert len(wide) == 1, [lines[i][:200] for i in wide]
