@@ -69,6 +69,40 @@ def op3_license_scans(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def _op3_sql() -> str:
+    """All windows of every text against every template."""
+    import re
+    rows = []
+    for name, text in sorted(licenses.TEMPLATES.items()):
+        w = re.findall(r"[a-z0-9]+", text.lower())
+        parts = list(dict.fromkeys(" ".join(w[i:i + 5]) for i in range(len(w) - 4)))
+        rows += [f"('{name}', '{x}', {len(parts)}, {max(1, len(parts) // 4)})" for x in parts]
+    return r"""
+WITH known(license, shingle, size, step) AS (VALUES """ + ", ".join(rows) + r"""),
+texts AS (
+  SELECT doc_id, row_number() OVER () AS rid,
+         regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w
+  FROM documents
+), matches AS (
+  SELECT rid, doc_id, n, license, size, step, pos, shingle
+  FROM (SELECT rid, doc_id, len(w) - 4 AS n, i AS pos, array_to_string(list_slice(w, i + 1, i + 5), ' ') AS shingle
+        FROM (SELECT *, unnest(range(0, len(w) - 4)) AS i FROM texts WHERE len(w) >= 5)) JOIN known USING (shingle)
+), windows AS (
+  SELECT DISTINCT rid, license, k * step AS start
+  FROM (SELECT *, unnest(range(greatest(pos - size - step, 0) // step, (pos + step) // step + 1)) AS k FROM matches)
+  WHERE k * step < n
+), judged AS (
+  SELECT doc_id, license, size, count(DISTINCT shingle) AS shared, min(pos) AS found_at
+  FROM windows JOIN matches USING (rid, license)
+  WHERE pos >= start - step AND pos < start + size + step
+  GROUP BY rid, doc_id, license, size, start
+  HAVING 100 * shared >= 80 * size
+)
+SELECT doc_id, license, max(size)::BIGINT AS n_template, max(shared)::BIGINT AS n_shared, min(found_at)::BIGINT AS first_word
+FROM judged GROUP BY doc_id, license
+"""
+
+
 def op4_odd_sketch_near_dups(spark, sf_dir):
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -106,6 +140,65 @@ def op8_markov_secrets(spark, sf_dir):
     return secrets.scan_secrets(table(spark, sf_dir, "documents")).drop("found")
 
 
+def _op8_sql() -> str:
+    """Base spans by split positions, both models by counting, and their ratio."""
+    q = lambda p: p.replace("'", "''")
+    rules = ((0, secrets.ASSIGN, 2, secrets.LEAST_VALUE), (1, secrets.ACCESS, 0, 0), (2, secrets.HEX, 0, 0))
+    each = " UNION ALL ".join(
+        f"SELECT rid, {kind} AS kind, {least} AS least, regexp_extract_all(t, '{q(p)}') AS m, "
+        f"regexp_extract_all(t, '{q(p)}', {group}) AS v, string_split_regex(t, '{q(p)}') AS s FROM texts"
+        for kind, p, group, least in (*rules, (3, secrets.CANDIDATE, 0, 0)))
+    plain = "t"
+    for _, p, _, _ in rules:
+        plain = f"regexp_replace({plain}, '{q(p)}', ' ', 'g')"
+    names = "['" + "', '".join(secrets.KINDS) + "']"
+    k, prior = len(secrets.ALPHABET), secrets.PRIOR
+    joined = f"string_agg({names}[kind + 1] || ':' || a || ':' || b, ',' ORDER BY a, kind)"
+    return rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+), found AS (
+  SELECT rid, kind, v[i] AS value,
+         (list_sum(list_transform(s[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::BIGINT AS a,
+         (list_sum(list_transform(s[1:i], lambda x: length(x))) + list_sum(list_transform(m[1:i], lambda x: length(x))))::BIGINT AS b
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM ({each}) WHERE len(m) > 0) WHERE length(v[i]) >= least
+), base AS (
+  SELECT * FROM found WHERE kind < 3
+), letters AS (
+  SELECT unnest(string_split('{secrets.ALPHABET}', '')) AS c
+), samples AS (
+  SELECT 'r' AS label, value AS w FROM base
+  UNION ALL SELECT 'w', unnest(regexp_extract_all({plain}, '{secrets.WORD}')) FROM texts
+), steps AS (
+  SELECT label, substr(w, i, 2) AS pair, count(*) AS n
+  FROM (SELECT label, w, unnest(range(1, length(w))) AS i FROM samples)
+  WHERE regexp_full_match(substr(w, i, 2), '[A-Za-z0-9+/_-][A-Za-z0-9+/_-]') GROUP BY 1, 2
+), model AS (
+  SELECT p.c || q.c AS pair, l.label,
+         (coalesce(any_value(n), 0) + {prior}::DOUBLE / {k}) / (sum(coalesce(any_value(n), 0)) OVER (PARTITION BY p.c, l.label) + {prior}::DOUBLE) AS share
+  FROM letters p, letters q, (VALUES ('r'), ('w')) AS l(label) LEFT JOIN steps ON steps.pair = p.c || q.c AND steps.label = l.label
+  GROUP BY p.c, q.c, l.label
+), ratio AS (
+  SELECT pair, round(1000 * ln((max(share) FILTER (label = 'r') + 1::DOUBLE / {k}) / 2 / max(share) FILTER (label = 'w')))::BIGINT AS r
+  FROM model GROUP BY pair
+), added AS (
+  SELECT c.rid, c.kind, c.a, c.b
+  FROM (SELECT *, unnest(range(1, length(value))) AS i FROM found WHERE kind = 3) c JOIN ratio ON ratio.pair = substr(value, i, 2)
+  WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.rid = c.rid AND base.a < c.b AND c.a < base.b)
+  GROUP BY c.rid, c.kind, c.a, c.b, length(value) HAVING sum(r) >= {secrets.THRESHOLD} * (length(value) - 1)
+), spans AS (
+  SELECT rid, kind, a, b FROM base UNION ALL SELECT * FROM added
+), told AS (
+  SELECT rid, {joined} AS spans, coalesce({joined.replace("ORDER BY a, kind)", "ORDER BY a, kind) FILTER (kind < 3)")}, '') AS based,
+         count(*) FILTER (kind = 0) AS n0, count(*) FILTER (kind = 1) AS n1, count(*) FILTER (kind = 2) AS n2
+  FROM spans GROUP BY rid
+)
+SELECT doc_id, coalesce(n0, 0)::BIGINT AS n_assign, coalesce(n1, 0)::BIGINT AS n_access, coalesce(n2, 0)::BIGINT AS n_hex,
+       sha256(coalesce(based, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN told USING (rid)
+"""
+
+
 def op9_suffix_array_decontamination(spark, sf_dir):
     return decontaminate.decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -153,6 +246,8 @@ QUERIES = {f.__name__: f for f in (
     op10_blockwise_suffix_dedup)}
 
 ORACLE = {
+    "op3_license_scans": _op3_sql(),
+    "op8_markov_secrets": _op8_sql(),
     "op6_warc_normaliser": OP6_SQL,
     "op2_host_quality_rules": OP2_SQL,
     "op9_suffix_array_decontamination": OP9_SQL,
