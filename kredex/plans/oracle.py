@@ -387,4 +387,11 @@ from (select saldo_jts_oid, numero_cuota, c2302, cast(c2302 as date) as d from p
     out["publish_rerun"] = statement(
         f"select {KEY}, Interno_ControlVersion as version, if({failed}, 'rejects', 'result') as shown_in "
         f"from extract where {KEY} % 2 = 0", ctes=EXTRACT_CTE)
+    as_text = ", ".join(f"coalesce(cast({c} as varchar), '') as {c}" for c in EXPORT_NAMES)
+    out["export_text_round_trip"] = statement(f"select {as_text} from ({_exported('extract')})", ctes=EXTRACT_CTE)
+    out["generated_at_default"] = statement("select count(*) as n, count(*) as n_set, 1 as n_values from extract",
+                                            ctes=EXTRACT_CTE)
+    out["universe_snapshot"] = statement(
+        "select jts_oid, nro_prestamo, codigo_cliente, saldo_mn, situacion_prestamo from universe")
+    out["member_snapshot"] = statement("select saldo_jts_oid, cod_cliente_m, nro_prestamo from miembros")
     return out
