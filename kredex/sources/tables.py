@@ -72,7 +72,9 @@ class TableSource(Mapping):
     """The source tables of one run, read lazily from ``root/<table>``.
 
     ``saldos_garantia`` (collateral balance rows) is the balance table
-    itself; the dated snapshots are cut at the cutoff date.
+    itself; the dated snapshots are cut at the cutoff date. ``devengamiento``
+    (accruals) may be stored by ``fecha`` too: the report's date filter is then
+    a partition filter, and a run reads only its own day.
     """
 
     def __init__(self, spark: SparkSession, root: str, cutoff: dt.date | None = None,

@@ -187,7 +187,7 @@ def write_fixture(spark, root, **kw):
         data = [tuple(r.get(c) for c in cols) for r in rows]
         df = spark.createDataFrame(data, schema)
         w = df.write.mode("overwrite")
-        if name in ("universe", "miembros"):
+        if name in ("universe", "miembros", "devengamiento"):
             w = w.partitionBy("fecha")
         w.parquet(f"{root}/{name}")
 

@@ -39,6 +39,10 @@ def test_lock_filter_pushed_to_scans(spark):
     p = facts.schedule_facts(src["plan_pagos"], ntz_literal(dt.datetime(2018, 10, 31)))
     text = p._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(tz_lock,0\)", text), text
+    # accruals are stored by date: the cutoff cuts them by partition
+    text = facts.accruals_at(src["devengamiento"], ntz_literal(dt.datetime(2018, 10, 31)))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*fecha", text), text
 
 
 def test_schedule_scan_is_pruned(spark, sf_dir):
