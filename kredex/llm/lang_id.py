@@ -143,9 +143,9 @@ def sample(docs: DataFrame, train: Column, doc_id: str, text: str, lang: str) ->
     cut = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda k: F.substring(
         F.col("b"), F.floor(F.greatest(F.octet_length("b") - WINDOW, F.lit(0)) * k / (PIECES - 1)).cast("int") + 1,
         F.lit(WINDOW)))
-    picked = (rows.where(point < share).limit(MOST_DOCUMENTS)
+    picked = (rows.where(point < share)
               .select("i", "y", F.lower("t").cast("binary").alias("b")).where("octet_length(b) > 0")
-              .select("i", "y", F.array_distinct(cut).alias("pieces")).collect())
+              .select("i", "y", F.array_distinct(cut).alias("pieces")).limit(MOST_DOCUMENTS).collect())
     picked.sort(key=lambda r: (r["i"], r["y"], [bytes(p) for p in r["pieces"]]))
     return [(bytes(p), r["y"]) for r in picked for p in r["pieces"]]
 
