@@ -168,7 +168,8 @@ WITH texts AS (
   SELECT unnest(string_split('{secrets.ALPHABET}', '')) AS c
 ), samples AS (
   SELECT 'r' AS label, value AS w FROM base
-  UNION ALL SELECT 'w', unnest(regexp_extract_all({plain}, '{secrets.WORD}')) FROM texts
+  UNION ALL SELECT 'w', w || '_' || upper(w) || '/' || lower(w) || upper(w[1]) || lower(w[2:]) || '-' || w
+  FROM (SELECT unnest(regexp_extract_all({plain}, '{secrets.WORD}')) AS w FROM texts)
 ), steps AS (
   SELECT label, substr(w, i, 2) AS pair, count(*) AS n
   FROM (SELECT label, w, unnest(range(1, length(w))) AS i FROM samples)

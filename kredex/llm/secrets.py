@@ -3,7 +3,8 @@
 Base rules find assignments, access keys and long hex strings. On top, two
 first-order Markov models over characters are trained from labelled samples:
 the values of the base spans of the whole corpus are the random strings, its
-long words outside base spans the ordinary identifiers. A candidate (a run of
+long words outside base spans, in the ways identifiers are formed of words, the
+ordinary identifiers. A candidate (a run of
 ``LEAST_CANDIDATE`` or more key characters) whose log-likelihood ratio per
 transition reaches ``THRESHOLD`` is added as a ``markov`` span, unless it
 overlaps a base span.
@@ -53,7 +54,7 @@ WORD = r"[A-Za-z0-9_]{12,}"
 #: Weight of the uniform prior per character, in transitions.
 PRIOR = 6.6
 #: Thousandths of a nat per transition from which a candidate is a secret.
-THRESHOLD = 1000
+THRESHOLD = 700
 MASK = "[SECRET]"
 
 
@@ -99,6 +100,13 @@ def _transitions(words: DataFrame) -> DataFrame:
     return pairs.where(F.col("pair").rlike(r"^[A-Za-z0-9+/_-]{2}$")).groupBy("pair").count()
 
 
+def identifier(w: Column) -> Column:
+    """A word as identifiers are formed of it: alone, in capitals, in camel
+    case, joined by the marks of the alphabet."""
+    camel = F.concat(F.lower(w), F.initcap(w))
+    return F.concat(w, F.lit("_"), F.upper(w), F.lit("/"), camel, F.lit("-"), w)
+
+
 def train(docs: DataFrame, text: str = "text") -> list[int]:
     """Log-likelihood ratios, in thousandths, by (previous, next) character."""
     rows = base_spans(docs.select(F.col(text).alias("text")))
@@ -107,7 +115,8 @@ def train(docs: DataFrame, text: str = "text") -> list[int]:
     # base spans are cut out, so a word next to one is a sample, its value not
     for pattern in (ASSIGN, ACCESS, HEX):
         plain = F.regexp_replace(plain, pattern, " ")
-    words = _transitions(rows.select(F.explode(F.regexp_extract_all(plain, F.lit(WORD), F.lit(0))).alias("w")))
+    words = rows.select(F.explode(F.regexp_extract_all(plain, F.lit(WORD), F.lit(0))).alias("w"))
+    words = _transitions(words.select(identifier(F.col("w")).alias("w")))
     counts = (random.withColumn("label", F.lit(1)).unionByName(words.withColumn("label", F.lit(0)))).collect()
     return ratios({r["pair"]: r["count"] for r in counts if r["label"]},
                   {r["pair"]: r["count"] for r in counts if not r["label"]})
