@@ -187,7 +187,7 @@ class _Cache(dict):
 class Codec:
     """Encoder and decoder for one rank table (``ranks``: bytes to id)."""
 
-    CACHE = 400_000
+    CACHE = 150_000
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks

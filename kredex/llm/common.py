@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of text a task holds decoded at once; a longer single text is one chunk.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,32 +85,35 @@ def map_texts(df: DataFrame, text: str, keep: list[str], schema: str,
     ``make()(texts)`` returns for a list of whole texts (UTF-8 bytes, null:
     empty). ``make`` runs once per task. Rows stream through in Arrow batches;
     ``schema`` is the DDL of the added columns."""
-    src = df.select(*[F.col(c) for c in keep], F.col(text).cast("binary").alias("__text"))
-    kept = src.drop("__text").schema
+    # the text travels once, also when it is one of the columns to keep
+    at_text = keep.index(text) if text in keep else len(keep)
+    src = df.select(*[F.col(c) for c in keep],
+                    *([] if text in keep else [F.col(text).cast("binary").alias("__text")]))
+    kept = src.select(*[src[c] for c in keep]).schema
     added = _schema(schema)
     out = _struct(list(kept.fields) + list(added.fields))
     names = [f.name for f in added.fields]
+    n_kept = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
         target = to_arrow_schema(out)
         f = make()
         for b in batches:
-            at, texts = 0, b.column(b.num_columns - 1)
+            at, texts = 0, b.column(at_text).cast(pa.binary())
             sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
             while at < b.num_rows:
                 end, size = at, 0
                 while end < b.num_rows and (end == at or size + sizes[end] <= CHUNK_BYTES):
                     size += sizes[end]
                     end += 1
-                part = [v.as_py() or b"" for v in texts[at:end]]
-                got = f(part)
-                cols = [b.column(i)[at:end] for i in range(b.num_columns - 1)]
-                cols += [got[n] for n in names]
+                got = f([v.as_py() or b"" for v in texts[at:end]])
+                cols = [b.column(i)[at:end] for i in range(n_kept)] + [got[n] for n in names]
                 cols = [c.cast(t.type) if isinstance(c, pa.Array) else pa.array(c, t.type)
                         for c, t in zip(cols, target)]
                 yield pa.RecordBatch.from_arrays(cols, schema=target)
                 at = end
+        pa.default_memory_pool().release_unused()
 
     return src.mapInArrow(run, out)
 

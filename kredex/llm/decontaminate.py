@@ -266,7 +266,7 @@ def decontamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents no benchmark window occurs in, with all their columns."""
     cols = docs.columns
-    held = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)], F.col(text).alias("text"))
-    return (find_contamination(held, benchmark, [f"c{i}" for i in range(len(cols))])
+    held = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    return (find_contamination(held, benchmark, held.columns, f"c{cols.index(text)}")
             .where("n_hit = 0").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(cols)]))
 

@@ -144,9 +144,9 @@ def quality_filter(docs: DataFrame, host: str = "source", text: str = "text",
     ids = docs.select(F.col(host).alias("host"), F.col(text).alias("text"))
     bad = rejected_hosts(stored(base_counts(ids, ["host"])), "host", max_rate)
     cols = docs.columns
-    held = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)],
-                       F.col(text).alias("text"))
-    judged = base_counts(held, [f"c{i}" for i in range(len(cols))]).where(~F.col("base_failed"))
+    held = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    judged = (base_counts(held, held.columns, f"c{cols.index(text)}")
+              .where(~F.col("base_failed")))
     at = f"c{cols.index(host)}"
     return (judged.join(bad, F.col(at).eqNullSafe(F.col("host")), "left_anti")
             .select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(cols)]))
