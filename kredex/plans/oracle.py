@@ -322,7 +322,7 @@ EXTRACT = over_loans({c: _typed(c) for c in RESULT}, ("solicitudes", "clientes")
 # dq_decimal_range scales the provision of every thirteenth loan out of range
 SCALED = "if(l.nro_prestamo % 13 = 0, cast(l.provision_mn as decimal(38,2)) * 100000000000000, cast(l.provision_mn as decimal(38,2)))"
 RAW_DECIMALS = over_loans({c: SCALED if c == "Provision" else RESULT[c] for c in RESULT if TYPES[c].startswith("decimal")},
-                          ("solicitudes", "clientes"))
+                          ("solicitudes", "clientes", "leader"))
 EXTRACT_CTE = (("extract", EXTRACT),)
 
 
