@@ -28,11 +28,13 @@ are ignored.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import once
+from .license_texts import TEMPLATES
 
 WIDTH = 5
 CONTAINED = 80                   # percent
@@ -41,20 +43,6 @@ CONTAINED = 80                   # percent
 LEAST_JACCARD = 0.5
 SURE = 0.9999
 
-# Public license notices (fixed values).
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are "
-                    "permitted provided that the following conditions are met",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MIT-notice": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
-                  "and associated documentation files",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-}
-
 
 def bands_for(similarity: float = LEAST_JACCARD, sure: float = SURE) -> int:
     """One-value bands needed so that a pair of this similarity collides in
@@ -80,7 +68,7 @@ def _band(x: Column, band: Column) -> Column:
 
 def _templates(spark, templates: dict[str, str]) -> DataFrame:
     """(license, size, step, t: its distinct shingles)."""
-    short = [k for k, v in templates.items() if len(v.split()) < WIDTH]
+    short = [k for k, v in templates.items() if len(re.findall(r"[^\W_]+", v)) < WIDTH]
     if short:
         raise ValueError(f"templates need {WIDTH} words: {short}")
     rows = spark.createDataFrame(sorted(templates.items()), "license string, text string")
@@ -102,7 +90,8 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     fixed = anchors.select("anchor", "size", "step", "w", "sh").distinct().collect()
     first = sorted({r["anchor"] for r in fixed})
     leads = sorted({w for r in fixed for w, x in zip(r["w"], r["sh"]) if x == r["anchor"]})
-    reach = max(r["size"] + 2 * r["step"] for r in fixed)
+    # how far the windows around an occurrence reach, over the anchor's templates
+    reaches = anchors.groupBy(F.col("anchor").alias("x")).agg(F.max(F.col("size") + 2 * F.col("step")).alias("reach"))
     anchors = anchors.drop("w", "sh")
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -113,10 +102,11 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # one row per occurrence, with the shingles of its neighbourhood only
     # (``base``: the position of the first)
     near = (rows.select("doc_id", "w", F.explode("p").alias("p"))
-            .select("doc_id", F.col("p.i").alias("i"), F.col("p.x").alias("anchor"),
-                    F.greatest(F.col("p.i") - reach, F.lit(0)).alias("base"), "w")
+            .select("doc_id", F.col("p.i").alias("i"), F.col("p.x").alias("anchor"), "w")
+            .join(F.broadcast(reaches), F.col("anchor") == F.col("x"))
+            .withColumn("base", F.greatest(F.col("i") - F.col("reach"), F.lit(0)))
             .select("doc_id", "i", "anchor", "base",
-                    F.slice("w", F.col("base") + 1, F.lit(2 * reach + WIDTH)).alias("words")))
+                    F.slice("w", F.col("base") + 1, 2 * F.col("reach") + WIDTH).alias("words")))
     near = once(near, "near", shingles(F.col("words"))).drop("words")
     hits = near.join(F.broadcast(anchors), "anchor")
     # window starts on the template's grid that hold the occurrence

@@ -1,0 +1,80 @@
+"""Real license notices and passages against the production templates."""
+from kredex.llm import licenses as L
+
+GNU = """This {2} is free software: you can redistribute it and/or modify it under the terms of the GNU {0} License as
+published by the Free Software Foundation, either version {1} of the License, or (at your option) any later version.
+
+This {2} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU {0} License for more details.
+
+You should have received a copy of the GNU {0} License along with this {2}.  If not, see <https://www.gnu.org/licenses/>."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+   disclaimer in the documentation and/or other materials provided with the distribution.
+{0}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
+BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."""
+NAMES = """{0}Neither the name of {1} nor the names of its contributors may be used to endorse or promote products derived from
+this software without specific prior written permission."""
+ADVERTS = """3. All advertising materials mentioning features or use of this software must display the following acknowledgement:
+   This product includes software developed by the organization.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted, provided that the above copyright notice and this permission notice appear in all copies."""
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a
+compiled binary, for any purpose, commercial or non-commercial, and by any means."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to
+use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom
+the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with
+the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS"
+BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language
+governing permissions and limitations under the License."""
+CASES = [
+    (GNU.format("General Public", "3", "program"), {"GPL-header", "GPL-3.0-header"}),
+    (GNU.format("General Public", "2", "program"), {"GPL-header", "GPL-2.0-header"}),
+    (GNU.format("Lesser General Public", "2.1", "library"), {"LGPL-header", "LGPL-2.1-header"}),
+    (GNU.format("Lesser General Public", "3", "program"), {"LGPL-header", "LGPL-3.0-header"}),
+    (GNU.format("Affero General Public", "3", "program"), {"AGPL-header", "AGPL-3.0-header"}),
+    (BSD.format(""), {"BSD-conditions", "BSD-2-Clause"}),
+    (BSD.format(NAMES.format("3. ", "the copyright holder")), {"BSD-conditions", "BSD-3-Clause"}),
+    (BSD.format(NAMES.format("* ", "Example Inc.")), {"BSD-conditions", "BSD-3-Clause"}),
+    (BSD.format(ADVERTS + NAMES.format("4. ", "the organization")), {"BSD-conditions", "BSD-3-Clause", "BSD-4-Clause"}),
+    (ISC, {"ISC"}), (ISC.replace("hereby", "herewith"), {"ISC"}), (UNLICENSE, {"Unlicense"}),
+    (MIT, {"MIT-notice", "MIT-text"}), (MIT.replace("without restriction", "with no limits").replace("merge, ", ""), {"MIT-notice", "MIT-text"}),
+    (APACHE, {"Apache-2.0", "Apache-2.0-header"}), (APACHE.replace("License,", "Licence,"), {"Apache-2.0-header"}),
+    ("Creative Commons Attribution-NonCommercial 4.0 International", {"CC-BY-NC-4.0-name"}),
+    ("the Creative Commons Attribution-ShareAlike 3.0 Unported License", {"CC-BY-SA-3.0-name"}),
+    ("see https://creativecommons.org/licenses/by-nc-sa/4.0/", {"CC-BY-NC-SA-4.0-link"}),
+    ("see https://creativecommons.org/licenses/by/4.0/", {"CC-BY-4.0-link"}),
+]
+
+
+def test_real_notices(make_docs):
+    rows = [(i, "intro words before. " * 9 + t + " and words after it." * 9) for i, (t, _) in enumerate(CASES)]
+    got = {}
+    for r in L.scan_licenses(make_docs(rows)).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert got == {i: want for i, (_, want) in enumerate(CASES)}
+
+
+def test_templates_are_told_apart(make_docs):
+    """A template's own text is reported under its name, and under another's
+    only if that is the notice or name in it."""
+    names = sorted(L.TEMPLATES)
+    got = {(names[r.doc_id], r.license) for r in L.scan_licenses(make_docs([(i, L.TEMPLATES[k]) for i, k in enumerate(names)])).collect()}
+    held = {(a, b) for a, b in got if a != b}
+    assert {(k, k) for k in names} <= got
+    assert all(b in ("Apache-2.0", "MIT-notice", "MPL-2.0") or b.endswith("-name") and a.startswith(b[:-len("-name")])
+               for a, b in held), held
