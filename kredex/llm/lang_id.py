@@ -7,9 +7,11 @@ over the window, softmax. It is trained here in numpy with Adam on labelled
 windows, cropped at random so that short texts are covered. A text of any
 length is cut into windows; their logits are averaged by bytes.
 
-Training sample: about ``PER_LANGUAGE`` documents of each language, chosen by a
-hash of the id among the rows of the training folds, at most
-``MOST_DOCUMENTS``; up to ``PIECES`` evenly spread windows of each.
+Training sample: every language of the training folds, ``PER_LANGUAGE``
+documents of each (all it has, if fewer), chosen by a hash of the id; with many
+languages fewer of each, so that it stays at ``MOST_DOCUMENTS``, but never less
+than ``LEAST_PER_LANGUAGE`` (from 400 languages on the sample grows with their
+number). Up to ``PIECES`` evenly spread windows of each document.
 
 Defined cases: null text, or text without a letter, is ``und`` with score 0; so
 is everything when no row has a label; rows with null ids are in no training
@@ -22,7 +24,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import crc_mod, map_texts
@@ -32,6 +34,7 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16
 PER_LANGUAGE = 500
 MOST_DOCUMENTS = 20_000
+LEAST_PER_LANGUAGE = 50
 PIECES = 4
 EPOCHS = 12
 UNKNOWN = "und"
@@ -132,20 +135,25 @@ def fit(samples: list[tuple[bytes, str]], epochs: int = EPOCHS, seed: int = 5) -
 
 def sample(docs: DataFrame, train: Column, doc_id: str, text: str, lang: str) -> list[tuple[bytes, str]]:
     """The training windows (see the module's bounds)."""
-    rows = (docs.where(train & F.col(lang).isNotNull() & F.col(text).isNotNull())
+    rows = (docs.where(train & F.col(lang).isNotNull() & (F.octet_length(F.col(text)) > 0))
             .select(F.col(doc_id).alias("i"), F.col(lang).cast("string").alias("y"), F.col(text).alias("t")))
-    counts = {r["y"]: r["count"] for r in rows.groupBy("y").count().orderBy(F.desc("count"), "y")
-              .limit(MOST_DOCUMENTS // PER_LANGUAGE).collect()}
-    share = F.lit(0.0)
-    for y, n in counts.items():
-        share = F.when(F.col("y") == y, F.lit(min(1.0, PER_LANGUAGE / n))).otherwise(share)
+    # one row per label, as the network has them
+    counts = [(r["y"], r["count"]) for r in rows.groupBy("y").count().collect()]
+    if not counts:
+        return []
+    quota = max(min(PER_LANGUAGE, MOST_DOCUMENTS // len(counts)), LEAST_PER_LANGUAGE)
+    # the shares are a little larger than the quota; the rank cuts to it
+    shares = docs.sparkSession.createDataFrame([(y, min(1.0, (quota + 4 * quota ** 0.5) / n)) for y, n in counts],
+                                               "label string, share double")
     point = F.pmod(F.xxhash64("i"), F.lit(1 << 30)) / float(1 << 30)
     cut = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda k: F.substring(
         F.col("b"), F.floor(F.greatest(F.octet_length("b") - WINDOW, F.lit(0)) * k / (PIECES - 1)).cast("int") + 1,
         F.lit(WINDOW)))
-    picked = (rows.where(point < share)
-              .select("i", "y", F.lower("t").cast("binary").alias("b")).where("octet_length(b) > 0")
-              .select("i", "y", F.array_distinct(cut).alias("pieces")).limit(MOST_DOCUMENTS).collect())
+    rank = F.row_number().over(Window.partitionBy("y").orderBy("point", "i", "pieces"))
+    picked = (rows.withColumn("point", point).join(F.broadcast(shares), (F.col("y") == F.col("label")) & (F.col("point") < F.col("share")))
+              .select("i", "y", "point", F.lower("t").cast("binary").alias("b"))
+              .select("i", "y", "point", F.array_distinct(cut).alias("pieces"))
+              .withColumn("rank", rank).where(F.col("rank") <= quota).select("i", "y", "pieces").collect())
     picked.sort(key=lambda r: (r["i"], r["y"], [bytes(p) for p in r["pieces"]]))
     return [(bytes(p), r["y"]) for r in picked for p in r["pieces"]]
 

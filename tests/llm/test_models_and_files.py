@@ -44,6 +44,26 @@ def test_language_ignores_labels_of_the_held_out_fold(make_docs):
     assert a == b
 
 
+def test_every_language_is_learned(make_docs, monkeypatch):
+    rng = random.Random(3)
+    rows = []
+    for k in range(46):
+        letters = [chr(0x4E00 + 40 * k + j) for j in range(6)]      # an alphabet per language
+        rows += [(100 * k + i, " ".join("".join(rng.choices(letters, k=4)) for _ in range(12)), f"l{k}")
+                 for i in range(12 + (k < 3) * 20)]
+    docs = make_docs(rows)
+    train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2
+    sample = G.sample(docs, train, "doc_id", "text", "lang")
+    assert {y for _, y in sample} == {f"l{k}" for k in range(46)}
+    got = {r.doc_id: r.lang_pred for r in G.identify(docs).collect()}
+    assert {got[i] for i, _, _ in rows} == {f"l{k}" for k in range(46)}
+    # a smaller sample lowers the quota of all, down to the floor
+    monkeypatch.setattr(G, "MOST_DOCUMENTS", 46 * 7)
+    monkeypatch.setattr(G, "LEAST_PER_LANGUAGE", 5)
+    few = [y for _, y in G.sample(docs, train, "doc_id", "text", "lang")]
+    assert len(set(few)) == 46 and max(few.count(y) for y in set(few)) <= 7
+
+
 # ---- quality
 
 def test_quality_held_out(spark):
