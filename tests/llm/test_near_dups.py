@@ -61,3 +61,18 @@ def test_sketch_never_loses_a_link():
         b = np.unique(np.concatenate([a[drop:], rng.integers(0, 2 ** 63, drop, dtype=np.uint64)]))
         z = int(np.bitwise_count((N.odd_sketch(a) ^ N.odd_sketch(b)).view(np.uint64)).sum())
         assert z <= len(np.setxor1d(a, b))
+
+
+def test_sketch_limit_of_large_sets():
+    """The worst linked pair: one set holds 80 % of the other."""
+    import math
+    import numpy as np
+    rng = np.random.default_rng(1)
+    most = math.floor(N.BITS / 2 * (1 - math.exp(-2 * N.MOST_APART / N.BITS)))
+    for size in (3000, 20000):
+        z = []
+        for _ in range(400):
+            b = rng.integers(0, 2 ** 63, size, dtype=np.uint64)
+            a, b = np.sort(b[:size * 8 // 10]), np.sort(b)
+            z.append(int(np.bitwise_count((N.odd_sketch(a) ^ N.odd_sketch(b)).view(np.uint64)).sum()))
+        assert max(z) <= most and most >= np.mean(z) + 5 * np.std(z)
