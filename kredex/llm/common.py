@@ -47,6 +47,14 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(table: DataFrame) -> None:
+    """Delete a table written by ``stored`` that nothing reads any more."""
+    from ..session import remove_path
+    for f in {x.rsplit("/", 1)[0] for x in table.inputFiles()}:
+        if "/llm-" in f:
+            remove_path(table.sparkSession, f)
+
+
 def once(df: DataFrame, name: str, value) -> DataFrame:
     """``df`` with a column that Spark computes once per row. A plain column
     may be copied by the optimizer into every use, into filters it pushes down

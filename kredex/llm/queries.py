@@ -7,7 +7,8 @@ version, a round trip or held-out accuracy in ``tests/llm``.
 
 from __future__ import annotations
 
-from . import byte_bpe, decontaminate, host_rules, lang_id, licenses, near_dups, quality_rank, secrets, suffix_dedup, warc
+from . import (byte_bpe, decontaminate, host_rules, importance, lang_id, licenses, near_dups, quality_rank, secrets,
+               suffix_dedup, toxicity, vector_codes, warc)
 from .common import table
 
 
@@ -241,10 +242,107 @@ def op10_blockwise_suffix_dedup(spark, sf_dir):
     return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
 
 
+
+def op11_noisy_channel_toxicity(spark, sf_dir):
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_crc_importance_resampling(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _op12_sql() -> str:
+    """CRC-32 by folding the bytes of each distinct feature."""
+    k = importance.BUCKETS
+    split = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+    runs = " UNION ALL ".join(
+        f"SELECT of, rid, array_to_string(list_slice(ws, i, i + {n}), ' ') AS x FROM "
+        f"(SELECT of, rid, ws, unnest(range(1, len(ws) - {n} + 1)) AS i FROM texts WHERE len(ws) > {n})" for n in range(3))
+    return rf"""
+WITH texts AS (
+  SELECT 's' AS of, row_number() OVER () AS rid, doc_id, {split} AS ws FROM documents
+  UNION ALL SELECT 't', row_number() OVER (), NULL, {split} FROM benchmark
+), found AS MATERIALIZED ({runs}),
+byte_step AS MATERIALIZED (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda a, i: if(a % 2 = 1, xor(a // 2, 3988292384), a // 2)) ORDER BY b) AS step
+  FROM (SELECT unnest(range(256))::BIGINT AS b)
+), hashed AS MATERIALIZED (
+  SELECT x, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(h), 2),
+              lambda i: (16 * (instr('0123456789ABCDEF', h[i]) - 1) + instr('0123456789ABCDEF', h[i + 1]) - 1)::BIGINT)),
+            lambda a, b: xor(a // 256, step[xor(a, b) % 256 + 1])), 4294967295) % {k} AS bucket
+  FROM (SELECT x, hex(encode(x)) AS h FROM (SELECT DISTINCT x FROM found)), byte_step
+), counts AS (
+  SELECT bucket, count(*) FILTER (of = 's') AS s, count(*) FILTER (of = 't') AS t FROM found JOIN hashed USING (x) GROUP BY bucket
+), totals AS (
+  SELECT coalesce(sum(s), 0) AS s_all, coalesce(sum(t), 0) AS t_all FROM counts
+), gain AS (
+  SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (s_all + {k})::DOUBLE) / ((s + 1)::DOUBLE * (t_all + {k})::DOUBLE)))::BIGINT AS g
+  FROM counts, totals
+), weighed AS (
+  SELECT rid, count(*) AS n_features, sum(g) AS weight FROM found JOIN hashed USING (x) JOIN gain USING (bucket)
+  WHERE of = 's' GROUP BY rid
+), scored AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('{importance.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+                                                + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score, rid
+  FROM texts LEFT JOIN weighed USING (rid) WHERE of = 's'
+), placed AS (
+  SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, n_words) AS place, count(*) OVER () AS n
+  FROM scored WHERE n_words >= {importance.LEAST_WORDS}
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= {importance.PERCENT} * n // 100 THEN place END AS rank, n_words
+FROM scored LEFT JOIN placed USING (rid)
+"""
+
+
+def op13_ball_kmeans_codes(spark, sf_dir):
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def _op13_sql() -> str:
+    """Every part against every entry, round by round."""
+    v = vector_codes
+
+    def assigned(k: int) -> str:
+        return f"""a{k} AS MATERIALIZED (
+  SELECT rid, p, v, arg_min(e, [d, e]) AS e, min(d) AS d
+  FROM (SELECT rid, part.p, v, e, list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+        FROM part JOIN book{k} ON book{k}.p = part.p) GROUP BY rid, p, v)"""
+
+    def updated(k: int) -> str:
+        return f"""book{k + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(n, c) AS c FROM book{k} LEFT JOIN (
+    SELECT p, e, list(floor_mean ORDER BY k) AS n FROM (
+      SELECT p, e, k, floor(sum(v[k])::DECIMAL(38,0) / count(*))::BIGINT AS floor_mean
+      FROM (SELECT p, e, v, unnest(range(1, len(v) + 1)) AS k FROM a{k}) GROUP BY p, e, k) GROUP BY p, e) USING (p, e))"""
+
+    rounds = ",\n".join(x for k in range(v.ROUNDS) for x in (assigned(k), updated(k)))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, x) AS rid, vec_id, label, x FROM (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor({v.SCALE} * x::DOUBLE)::BIGINT) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+), part AS MATERIALIZED (
+  SELECT rid, p, list_slice(x, p * (len(x) // {v.PARTS}) + 1, (p + 1) * (len(x) // {v.PARTS})) AS v
+  FROM (SELECT rid, x, unnest(range({v.PARTS})) AS p FROM kept)
+), book0 AS MATERIALIZED (
+  SELECT p, rid - 1 AS e, v AS c FROM part WHERE rid <= {v.ENTRIES}
+), {rounds}, {assigned(v.ROUNDS)},
+vectors AS (
+  SELECT rid, string_agg(printf('%02x', e::INTEGER), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{v.ROUNDS} GROUP BY rid
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{v.ROUNDS}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN vectors USING (rid), digest
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_byte_cnn_language, op2_host_quality_rules, op3_license_scans, op4_odd_sketch_near_dups, op5_byte_bpe,
     op6_warc_normaliser, op7_bradley_terry_quality, op8_markov_secrets, op9_suffix_array_decontamination,
-    op10_blockwise_suffix_dedup)}
+    op10_blockwise_suffix_dedup, op11_noisy_channel_toxicity, op12_crc_importance_resampling, op13_ball_kmeans_codes)}
 
 ORACLE = {
     "op3_license_scans": _op3_sql(),
@@ -252,4 +350,6 @@ ORACLE = {
     "op6_warc_normaliser": OP6_SQL,
     "op2_host_quality_rules": OP2_SQL,
     "op9_suffix_array_decontamination": OP9_SQL,
+    "op12_crc_importance_resampling": _op12_sql(),
+    "op13_ball_kmeans_codes": _op13_sql(),
 }
