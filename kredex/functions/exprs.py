@@ -37,10 +37,10 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def blank_eq(c: str | Column, value: str) -> Column:
-    """String equality with T-SQL blank padding: trailing spaces are ignored
-    (``'F ' = 'F'`` and ``' ' = ''`` are true there)."""
-    return F.rtrim(col(c)) == F.lit(value.rstrip(" "))
+def is_code(c: str | Column, *codes: str) -> Column:
+    """Whether a coded column holds one of ``codes``, by the column's own
+    collation (``sources/collation.py``)."""
+    return col(c) == F.lit(codes[0]) if len(codes) == 1 else col(c).isin(*codes)
 
 
 def day_diff(start: str | Column, end: str | Column) -> Column:
@@ -71,7 +71,7 @@ def grade_to_class(c: str | Column) -> Column:
     """Simple ``CASE`` grade A..E -> 1..5; anything else (NULL too) -> 0."""
     out = None
     for grade, n in GRADE_CLASS.items():
-        cond = blank_eq(c, grade)
+        cond = is_code(c, grade)
         out = F.when(cond, F.lit(n)) if out is None else out.when(cond, F.lit(n))
     return out.otherwise(F.lit(0))
 
@@ -79,7 +79,7 @@ def grade_to_class(c: str | Column) -> Column:
 def modality_text(c: str | Column) -> Column:
     out = None
     for code, text in MODALITY_TEXT.items():
-        cond = blank_eq(c, code)
+        cond = is_code(c, code)
         out = F.when(cond, F.lit(text)) if out is None else out.when(cond, F.lit(text))
     return out.otherwise(F.lit(""))
 

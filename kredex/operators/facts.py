@@ -8,10 +8,11 @@ lookup becomes one conditional aggregate of that row. All aggregates used
 key holding a large share of the rows is reduced per task before the shuffle
 and never gathered raw in one task.
 
-Greatest-per-group lookups (``TOP 1 ... ORDER BY``) use ``max_by``/``min_by``
-with a condition on the *key*: rows failing the lookup's filter get a NULL key
-and are skipped. Keys are flat: a first level groups by date, so the second
-only needs the date (NULL as a floor value) and the first only the tie-break.
+Greatest-per-group lookups (``TOP 1 ... ORDER BY``) use ``max_by`` with a
+condition on the *key*: rows failing the lookup's filter get a NULL key and are
+skipped. Keys are flat: date and tie-break packed into one number, which a hash
+aggregate can hold and combine on the map side, so a lookup needs one level per
+loan and one exchange. Only the sum of the latest payment date has a date level.
 """
 
 from __future__ import annotations
@@ -56,38 +57,52 @@ def schedule_facts(plan_pagos: DataFrame, cutoff: Column) -> DataFrame:
                                         first)
     """
     due = F.col("c2302")
-    cap_out = F.col("c2309") > 0
-    int_out = F.col("c2310") > 0
+    cap, intr = F.col("c2309") > 0, F.col("c2310") > 0
+    overdue = due < cutoff
     pending = (F.col("c2309") + F.col("c2310")) > 0
     amount = F.col("c2304") + F.col("c2305")
-    # two levels with flat keys, (loan, due date) then loan: both are hash
-    # aggregates, and one loan's rows spread over many tasks
-    per_date = (valid(plan_pagos)
-                .groupBy(F.col("saldo_jts_oid").alias(LOAN), due.alias("due"))
-                .agg(F.sum(_when(cap_out, "c2309")).alias("principal"),
-                     F.count(_when(cap_out, F.lit(1))).alias("cap_rows"),
-                     F.count(_when(int_out, F.lit(1))).alias("int_rows"),
-                     F.count(_when(pending, F.lit(1))).alias("pending_rows"),
-                     F.min(_when(pending, amount)).alias("least"),
-                     F.max(_when(pending, amount)).alias("most")))
-    d = F.col("due")
-    overdue = d < cutoff
-    cap, intr = F.col("cap_rows") > 0, F.col("int_rows") > 0
-    ranked = _when(F.col("pending_rows") > 0, F.coalesce(d, no_date()))
-    return (per_date.groupBy(LOAN)
-            .agg(F.max(d).alias("max_due"),
-                 F.sum(_when(d >= cutoff, "principal")).alias("principal_current"),
-                 F.sum(_when(overdue, "principal")).alias("principal_overdue"),
-                 F.min(_when(cap, d)).alias("next_principal_due"),
-                 F.min(_when(intr, d)).alias("next_interest_due"),
-                 F.min(_when(cap & overdue, d)).alias("oldest_overdue_principal"),
-                 F.min(_when(intr & overdue, d)).alias("oldest_overdue_interest"),
-                 F.min_by("least", ranked).alias("first_pending_amount"),
-                 F.max_by("most", ranked).alias("last_pending_amount")))
+    # (due date, amount) as one number, so that the first and the last pending
+    # instalment are a plain min and max; a NULL amount gives way to others of
+    # its date
+    place = instant(due).cast("decimal(18,0)") * F.expr(f"cast({AMOUNTS} as decimal(20,0))")
+    cents = (amount * 100).cast("decimal(18,0)") + ZERO_AMOUNT
+    first = F.min(_when(pending, place + F.coalesce(cents, F.lit(NO_AMOUNT_LAST))))
+    last = F.max(_when(pending, place + F.coalesce(cents, F.lit(0))))
+    facts = (valid(plan_pagos).groupBy(F.col("saldo_jts_oid").alias(LOAN))
+             .agg(F.max(due).alias("max_due"),
+                  F.sum(_when(cap & (due >= cutoff), "c2309")).alias("principal_current"),
+                  F.sum(_when(cap & overdue, "c2309")).alias("principal_overdue"),
+                  F.min(_when(cap, due)).alias("next_principal_due"),
+                  F.min(_when(intr, due)).alias("next_interest_due"),
+                  F.min(_when(cap & overdue, due)).alias("oldest_overdue_principal"),
+                  F.min(_when(intr & overdue, due)).alias("oldest_overdue_interest"),
+                  first.alias("first_pending"), last.alias("last_pending")))
+    return (facts.withColumns({f"{x}_pending_amount": _amount(F.col(f"{x}_pending")) for x in ("first", "last")})
+            .drop("first_pending", "last_pending"))
+
+
+#: Room of an amount, in hundredths, in a packed (date, amount) number.
+AMOUNTS = 10 ** 19
+ZERO_AMOUNT = 5 * 10 ** 17
+NO_AMOUNT_LAST = 9 * 10 ** 18
+
+
+def _amount(packed: Column) -> Column:
+    part = (packed % F.expr(f"cast({AMOUNTS} as decimal(20,0))")).cast("decimal(20,0)")
+    return F.when(part.between(1, NO_AMOUNT_LAST - 1), ((part - ZERO_AMOUNT).cast("decimal(18,0)") / 100).cast("decimal(16,2)"))
+
+
+def instant(t: Column) -> Column:
+    """A timestamp as microseconds since the year 1, from 1 on; a NULL is 0 (it
+    ranks below every date, as SQL Server's order has it)."""
+    day = F.datediff(F.to_date(t), F.lit("0001-01-01").cast("date")).cast("bigint")
+    seconds = (F.hour(t) * 3600 + F.minute(t) * 60).cast("bigint")
+    micros = (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
+    return F.coalesce((day * 86_400 + seconds) * 1_000_000 + micros + 1, F.lit(0).cast("bigint"))
 
 
 # --------------------------------------------------------------------------
-# Movement history: two levels, (loan, value date) then loan.
+# Movement history: one pass, seven lookups.
 # --------------------------------------------------------------------------
 
 def history_facts(historia: DataFrame) -> DataFrame:
@@ -104,45 +119,43 @@ def history_facts(historia: DataFrame) -> DataFrame:
     * ``current_spread``  late-rate minus rate of the latest disbursement or
       'S' movement with a positive spread
 
-    Latest = greatest (value date, movement id). The first level groups by
-    (loan, value date) so one loan's rows spread over many tasks; the second
-    level folds the per-date rows.
+    Latest = greatest (value date, movement id).
     """
-    # kinds no rule reads are left at the scan; the first letter can be pushed
-    # to it, the blank-padded comparison below cannot
-    read = [F.col("tipomov").startswith(k) for k in "PAIS"]
-    h = valid(historia).where(read[0] | read[1] | read[2] | read[3])
-    kind = F.rtrim("tipomov")          # blank-padded equality
+    h = valid(historia)
+    kind = F.col("tipomov")
     pay = kind == "P"
     disb = kind.isin("A", "I")
     spread = F.col("tasamora") - F.col("tasainteres")
+    interest = pay & (F.col("interespagado") > 0)
     rate_cand = disb | ((kind == "S") & (F.col("tasainteres") > 0))
     spread_cand = disb | ((kind == "S") & (spread > 0))
-    # flat ordering keys (a NULL ranks below every value), so both levels are
-    # hash aggregates: within a date the movement id, across dates the date
-    mov = F.coalesce(F.col("movimiento").cast("bigint"), F.lit(-(1 << 63)))
+    # (value date, movement id) as one number: a flat key keeps the aggregate a
+    # hash aggregate, a NULL of either ranks below every value
+    movement = F.coalesce(F.col("movimiento").cast("bigint"), F.lit(-(1 << 63)))
+    order = (instant(F.col("fechavalor")).cast("decimal(18,0)") * F.expr(f"cast({1 << 64} as decimal(20,0))")
+             + movement.cast("decimal(20,0)") + F.expr(f"cast({1 << 63} as decimal(20,0))"))
+    # only interest payments need a date level (the sum of the latest date);
+    # all other movements of a loan are one row of the first level
     per_date = (
-        h.groupBy(F.col("saldos_jts_oid").alias(LOAN), "fechavalor")
-        .agg(F.max(_when(pay & (F.col("capitalpagado") > 0), F.lit(1))).alias("paid_principal"),
-             F.count(_when(pay & (F.col("interespagado") > 0), F.lit(1))).alias("interest_rows"),
-             F.sum(_when(pay & (F.col("interespagado") > 0), "interespagado")).alias("interest_sum"),
+        h.groupBy(F.col("saldos_jts_oid").alias(LOAN),
+                  F.when(interest, F.coalesce("fechavalor", no_date())).alias("paid_on"))
+        .agg(F.sum(_when(interest, "interespagado")).alias("interest"),
+             F.max(_when(pay & (F.col("capitalpagado") > 0), "fechavalor")).alias("principal_day"),
              F.count(_when(disb, F.lit(1))).alias("disb_rows"),
              F.max(_when(disb, "tasainteres")).alias("disb_rate"),
-             F.max_by("tasainteres", F.when(rate_cand, mov)).alias("rate"),
-             F.count(_when(rate_cand, F.lit(1))).alias("rate_rows"),
-             F.max_by(spread, F.when(spread_cand, mov)).alias("spread"),
-             F.count(_when(spread_cand, F.lit(1))).alias("spread_rows")))
-    d = F.col("fechavalor")
-    ranked = F.coalesce(d, no_date())
+             F.max_by("tasainteres", F.when(rate_cand, order)).alias("rate"),
+             F.max_by(spread, F.when(spread_cand, order)).alias("spread")))
+    day = F.col("paid_on")
     return (
         per_date.groupBy(LOAN)
-        .agg(F.max(_when(F.col("paid_principal") == 1, d)).alias("last_principal_payment"),
-             F.max(_when(F.col("interest_rows") > 0, d)).alias("last_interest_payment"),
-             F.max_by("interest_sum", _when(F.col("interest_rows") > 0, ranked)).alias("interest_paid_last_date"),
+        .agg(F.max("principal_day").alias("last_principal_payment"),
+             F.max(F.nullif(day, no_date())).alias("last_interest_payment"),
+             F.max_by("interest", day).alias("interest_paid_last_date"),
              F.sum("disb_rows").alias("disbursement_rows"),
              F.max("disb_rate").alias("disbursement_rate"),
-             F.max_by("rate", _when(F.col("rate_rows") > 0, ranked)).alias("current_rate"),
-             F.max_by("spread", _when(F.col("spread_rows") > 0, ranked)).alias("current_spread")))
+             # no interest payment bears a rate: one row of the loan has it
+             F.max("rate").alias("current_rate"),
+             F.max("spread").alias("current_spread")))
 
 
 # --------------------------------------------------------------------------
@@ -256,10 +269,10 @@ def coordinator(loans: DataFrame, miembros: DataFrame, relacion_grupo: DataFrame
     are possible (the lookup fans out, as in the reference).
     """
     rel = (valid(relacion_grupo)
-           .where((F.rtrim("c3201") == "S") & (F.rtrim("c3210") == "AC"))
+           .where((F.col("c3201") == "S") & (F.col("c3210") == "AC"))
            .select("c3198", "c3199"))
     doc = (persona_documento
-           .where((F.rtrim("estado") == "A") & (F.rtrim("principal") == "S"))
+           .where((F.col("estado") == "A") & (F.col("principal") == "S"))
            .select(F.col("idpersona").alias("c3199"), "nrodocumento"))
     of_loan = loans.select(LOAN, F.col("codigo_cliente").alias("c3198"))
     members = miembros.select(F.col("saldo_jts_oid").alias(LOAN), F.col("cod_cliente_m").alias("c3199"))

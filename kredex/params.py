@@ -15,6 +15,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sources.collation import CASE_INSENSITIVE, check
+
 
 class ParameterError(ValueError):
     pass
@@ -48,6 +50,8 @@ class RunParams:
     cutoff: dt.datetime
     tc: Decimal | None
     version: str | None
+    #: how coded text columns compare (``sources/collation.py``)
+    collation: str = CASE_INSENSITIVE
 
     @property
     def cutoff_col(self) -> Column:
@@ -68,7 +72,8 @@ class RunParams:
     @classmethod
     def resolve(cls, parametros: DataFrame, maestro: DataFrame,
                 fx_rates: DataFrame | None = None,
-                tc: Decimal | str | None = None) -> "RunParams":
+                tc: Decimal | str | None = None,
+                collation: str = CASE_INSENSITIVE) -> "RunParams":
         """Cutoff from the process-date table, version from the master row
         with state 1, FX rate given or looked up at the cutoff date."""
         cutoff = single_value(parametros, "fechaproceso")
@@ -82,4 +87,4 @@ class RunParams:
             from .functions.fx import rate_on
             tc = single_value(rate_on(fx_rates, cutoff.date()), "tipo_cambio")
         tc = None if tc is None else Decimal(str(tc)).quantize(Decimal("0.0001"))
-        return cls(cutoff=cutoff, tc=tc, version=version)
+        return cls(cutoff=cutoff, tc=tc, version=version, collation=check(collation))

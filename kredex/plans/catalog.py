@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import facts as fx_
 from ..params import RunParams
 from ..sources.adapters import CUTOFF_TC, TestWorld
+from ..sources.collation import CASE_INSENSITIVE, CASE_SENSITIVE, CollatedTables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -23,11 +24,12 @@ QUERIES: dict[str, QueryFn] = {}
 class Ctx:
     """Adapter tables + resolved run parameters for one call."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, collation: str = CASE_INSENSITIVE):
         from ..session import configure
         self.spark = configure(spark)
-        self.w = TestWorld(spark, sf_dir)
-        self.p = RunParams.resolve(self.w["parametros"], self.w["maestro"], tc=CUTOFF_TC)
+        self.raw = TestWorld(spark, sf_dir)
+        self.p = RunParams.resolve(self.raw["parametros"], self.raw["maestro"], tc=CUTOFF_TC, collation=collation)
+        self.w = CollatedTables(self.raw, self.p.collation)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.w[name]
@@ -39,12 +41,21 @@ class Ctx:
         return s.join(u, "jts_oid")
 
 
-def register(name: str):
-    """Register a Spark query over the test-data views."""
+#: Queries registered for a case-sensitive database too, under this ending.
+CASED = "_case_sensitive"
+
+
+def register(name: str, both_collations: bool = False):
+    """Register a Spark query over the test-data views; ``both_collations``
+    registers it for either rule of comparing codes."""
     def deco(fn: Callable[[Ctx], DataFrame]) -> QueryFn:
-        @wraps(fn)
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Ctx(spark, sf_dir))
-        QUERIES[name] = run
-        return run
+        def under(collation: str) -> QueryFn:
+            @wraps(fn)
+            def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+                return fn(Ctx(spark, sf_dir, collation))
+            return run
+        QUERIES[name] = under(CASE_INSENSITIVE)
+        if both_collations:
+            QUERIES[name + CASED] = under(CASE_SENSITIVE)
+        return QUERIES[name]
     return deco

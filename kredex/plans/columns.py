@@ -28,18 +28,18 @@ def instalment_col():
 
 
 def id_number_col():
-    group = X.blank_eq("tipo_prestamo", X.GROUP_LOAN)
+    group = X.is_code("tipo_prestamo", X.GROUP_LOAN)
     return (F.when(group, F.col("coord_document"))
-            .when(X.blank_eq("tipo_persona", X.LEGAL_PERSON), F.col("numero_ruc"))
+            .when(X.is_code("tipo_persona", X.LEGAL_PERSON), F.col("numero_ruc"))
             .otherwise(F.col("numero_documento")))
 
 
 def person_type_col():
-    group = X.blank_eq("tipo_prestamo", X.GROUP_LOAN)
+    group = X.is_code("tipo_prestamo", X.GROUP_LOAN)
     coord_type = F.when(F.col("coord_document").isNotNull() | F.col("coord_client").isNotNull(),
                         F.lit(X.PERSON_NATURAL))
     return (F.when(group, coord_type)
-            .when(~group & (X.blank_eq("tipo_persona", X.LEGAL_PERSON)), F.lit(X.PERSON_LEGAL))
+            .when(~group & X.is_code("tipo_persona", X.LEGAL_PERSON), F.lit(X.PERSON_LEGAL))
             .otherwise(F.lit(X.PERSON_NATURAL)))
 
 
@@ -49,12 +49,12 @@ def currency_col():
 
 
 def client_class_col():
-    return (F.when(X.blank_eq("situacion_prestamo", X.WRITTEN_OFF), F.lit(X.WRITTEN_OFF_CLIENT_CLASS))
+    return (F.when(X.is_code("situacion_prestamo", X.WRITTEN_OFF), F.lit(X.WRITTEN_OFF_CLIENT_CLASS))
             .otherwise(X.grade_to_class("calificacion_utilizada")))
 
 
 def interest_balance_col():
-    return (F.when(X.blank_eq("situacion_prestamo", X.WRITTEN_OFF), F.col("intereses_saneados_mn"))
+    return (F.when(X.is_code("situacion_prestamo", X.WRITTEN_OFF), F.col("intereses_saneados_mn"))
             .otherwise(F.col("devengado_int_cte_mn")))
 
 
@@ -67,12 +67,13 @@ def overdue_interest(f):
     parts = (F.coalesce("interes_deveng_vencido_cont", z)
              + (F.coalesce("mora_tasa_int_deveng_venc_cont", z)
                 + F.coalesce("mora_tasa_int_deveng_vige_cont", z)))
-    return (F.when(X.blank_eq("situacion_prestamo", X.WRITTEN_OFF), F.col("intereses_saneados_mn"))
+    return (F.when(X.is_code("situacion_prestamo", X.WRITTEN_OFF), F.col("intereses_saneados_mn"))
             .otherwise(parts * f)).cast("decimal(26,2)")
 
 
 def rate_type():
-    return (F.when(F.col("producto").ilike(f"%{X.VARIABLE_RATE_PRODUCT}%"), F.lit(X.RATE_VARIABLE))
+    """Containment by the column's collation, as ``LIKE '%x%'`` there."""
+    return (F.when(F.col("producto").contains(X.VARIABLE_RATE_PRODUCT), F.lit(X.RATE_VARIABLE))
             .otherwise(F.lit(X.RATE_FIXED)))
 
 

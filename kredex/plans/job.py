@@ -1,7 +1,7 @@
 """The batch job: parameters -> extract -> checks -> dated partition -> text.
 
     python -m kredex.plans.job --root <sources> --out <result> [--export <dir>]
-                               [--tc 32.1234] [--policy strict|quarantine]
+                               [--tc 32.1234] [--policy strict|quarantine] [--collation nocase|case]
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..params import RunParams
 from ..session import configure
+from ..sources.collation import CASE_INSENSITIVE, COLLATIONS
 from ..sources.tables import TableSource
 from . import publish as pub
 from .extract import build_extract
@@ -20,7 +21,7 @@ from .extract import build_extract
 
 def run_extract(spark: SparkSession, root: str, out: str, *, tc: Decimal | str | None = None,
                 policy: str = "strict", export_path: str | None = None,
-                reject_path: str | None = None) -> RunParams:
+                reject_path: str | None = None, collation: str = CASE_INSENSITIVE) -> RunParams:
     """Build and publish the extract of the cutoff named in the source's
     parameter table; optionally export it as delimited text."""
     if policy == "quarantine" and not reject_path:
@@ -28,8 +29,8 @@ def run_extract(spark: SparkSession, root: str, out: str, *, tc: Decimal | str |
     configure(spark)
     base = TableSource(spark, root)
     p = RunParams.resolve(base["parametros"], base["maestro"],
-                          fx_rates=base["tipo_cambio"], tc=tc)
-    src = TableSource(spark, root, cutoff=p.cutoff.date())
+                          fx_rates=base["tipo_cambio"], tc=tc, collation=collation)
+    src = TableSource(spark, root, cutoff=p.cutoff.date(), collation=p.collation)
     # quarantine: an out-of-range decimal rejects its row instead of the job
     result = build_extract(src, p, with_generated=True, checked=(policy == "quarantine"))
     pub.publish(result, out, p, policy=policy, reject_path=reject_path)
@@ -43,7 +44,7 @@ def extract(spark: SparkSession, root: str, tc: Decimal | str | None = None) ->
     base = TableSource(spark, root)
     p = RunParams.resolve(base["parametros"], base["maestro"],
                           fx_rates=base["tipo_cambio"], tc=tc)
-    return build_extract(TableSource(spark, root, cutoff=p.cutoff.date()), p)
+    return build_extract(TableSource(spark, root, cutoff=p.cutoff.date(), collation=p.collation), p)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -53,13 +54,15 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--export")
     ap.add_argument("--rejects")
     ap.add_argument("--tc")
+    ap.add_argument("--collation", default="nocase", choices=sorted(COLLATIONS))
     ap.add_argument("--policy", default="strict", choices=["strict", "quarantine"])
     a = ap.parse_args(argv)
     if a.policy == "quarantine" and not a.rejects:
         ap.error("--policy quarantine needs --rejects")
     spark = SparkSession.builder.appName("kredex-extract").getOrCreate()
     p = run_extract(spark, a.root, a.out, tc=a.tc, policy=a.policy,
-                    export_path=a.export, reject_path=a.rejects)
+                    export_path=a.export, reject_path=a.rejects,
+                    collation=COLLATIONS[a.collation])
     print(f"published cutoff {p.cutoff:%Y-%m-%d} version {p.version}")
 
 

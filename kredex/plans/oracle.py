@@ -24,8 +24,10 @@ RULES: dict[str, str] = {
                       b.c1632 as plain_rate, b.c1633 as plain_late_rate, b.c1704 as request,
                       b.c1803 as holder,
                       u.* exclude (jts_oid) replace (
-                          rtrim(codigo_estado) as codigo_estado, rtrim(clasificacion_prestamo) as clasificacion_prestamo,
-                          rtrim(calificacion_utilizada) as calificacion_utilizada),
+                          CODE(codigo_estado) as codigo_estado, CODE(clasificacion_prestamo) as clasificacion_prestamo,
+                          CODE(calificacion_utilizada) as calificacion_utilizada, CODE(tipo_prestamo) as tipo_prestamo,
+                          CODE(tipo_persona) as tipo_persona, CODE(situacion_prestamo) as situacion_prestamo,
+                          CODE(producto) as producto),
                       case when b.moneda = 1 then cast(1 as decimal(8,4)) else """ + RATE + """ end as to_local
                from saldos b join universe u using (jts_oid) where b.tz_lock = 0""",
     "client": f"""select codigo_cliente, count(codigo_cliente) as loans,
@@ -63,21 +65,21 @@ RULES: dict[str, str] = {
     # movement history
     "payment": """select saldos_jts_oid as loan, max(fechavalor) filter (capitalpagado > 0) as principal_day,
                          max(fechavalor) filter (interespagado > 0) as interest_day
-                  from historia where rtrim(tipomov) = 'P' and tz_lock = 0 group by saldos_jts_oid""",
+                  from historia where CODE(tipomov) = LIT('P') and tz_lock = 0 group by saldos_jts_oid""",
     "interest_by_day": """select saldos_jts_oid as loan, fechavalor, sum(interespagado) as paid,
                                  row_number() over (partition by saldos_jts_oid
                                                     order by fechavalor desc nulls last) as back
-                          from historia where rtrim(tipomov) = 'P' and tz_lock = 0 and interespagado > 0
+                          from historia where CODE(tipomov) = LIT('P') and tz_lock = 0 and interespagado > 0
                           group by saldos_jts_oid, fechavalor""",
     "disbursed": """select saldos_jts_oid as loan, max(tasainteres) as rate
-                    from historia where rtrim(tipomov) in ('A', 'I') and tz_lock = 0 group by saldos_jts_oid""",
+                    from historia where CODE(tipomov) in (LIT('A'), LIT('I')) and tz_lock = 0 group by saldos_jts_oid""",
     "latest_rate": """select saldos_jts_oid as loan, tasainteres as rate
-                      from HISTORY where tz_lock = 0 and (rtrim(tipomov) in ('A', 'I') or (rtrim(tipomov) = 'S' and tasainteres > 0))
+                      from HISTORY where tz_lock = 0 and (CODE(tipomov) in (LIT('A'), LIT('I')) or (CODE(tipomov) = LIT('S') and tasainteres > 0))
                       qualify row_number() over (partition by saldos_jts_oid
                           order by fechavalor desc nulls last, movimiento desc nulls last) = 1""",
     "latest_spread": """select saldos_jts_oid as loan, tasamora - tasainteres as spread
                         from HISTORY where tz_lock = 0
-                          and (rtrim(tipomov) in ('A', 'I') or (rtrim(tipomov) = 'S' and tasamora - tasainteres > 0))
+                          and (CODE(tipomov) in (LIT('A'), LIT('I')) or (CODE(tipomov) = LIT('S') and tasamora - tasainteres > 0))
                         qualify row_number() over (partition by saldos_jts_oid
                             order by fechavalor desc nulls last, movimiento desc nulls last) = 1""",
     "accrual": """select saldo_jts_oid as loan, interes_deveng_vigente_cont as running,
@@ -102,7 +104,8 @@ RULES: dict[str, str] = {
                  from relacion_grupo r
                  join miembros m on m.cod_cliente_m = r.c3199
                  join persona_documento d on d.idpersona = r.c3199
-                 where r.tz_lock = 0 and rtrim(r.c3201) = 'S' and rtrim(r.c3210) = 'AC' and d.estado = 'A' and d.principal = 'S'""",
+                 where r.tz_lock = 0 and CODE(r.c3201) = LIT('S') and CODE(r.c3210) = LIT('AC')
+                   and CODE(d.estado) = LIT('A') and CODE(d.principal) = LIT('S')""",
 }
 
 
@@ -124,20 +127,20 @@ def yearly(rate: str) -> str:
 
 
 def grade(x: str) -> str:
-    return f"coalesce(list_position(['A', 'B', 'C', 'D', 'E'], {x}), 0)"
+    return f"coalesce(list_position([LIT('A'), LIT('B'), LIT('C'), LIT('D'), LIT('E')], {x}), 0)"
 
 
-WRITTEN_OFF = "l.situacion_prestamo = 'Saneado'"
-GROUP = "l.tipo_prestamo = 'GRUPO SOLIDARIO'"
-FROM_HISTORY = "l.codigo_estado in ('C', 'E')"
+WRITTEN_OFF = "l.situacion_prestamo = LIT('Saneado')"
+GROUP = "l.tipo_prestamo = LIT('GRUPO SOLIDARIO')"
+FROM_HISTORY = "l.codigo_estado in (LIT('C'), LIT('E'))"
 
 # name: (expression, relations it needs); l is the loan
 COLUMNS: dict[str, tuple[str, tuple[str, ...]]] = {
     "client": ("l.codigo_cliente", ()),
-    "id": (f"case when {GROUP} then leader.document when l.tipo_persona = 'J' then l.numero_ruc else l.numero_documento end",
+    "id": (f"case when {GROUP} then leader.document when l.tipo_persona = LIT('J') then l.numero_ruc else l.numero_documento end",
            ("leader",)),
     "person": (f"case when {GROUP} then case when leader.loan is not null then 'Natural' end "
-               "when l.tipo_persona = 'J' then 'Juridica' else 'Natural' end", ("leader",)),
+               "when l.tipo_persona = LIT('J') then 'Juridica' else 'Natural' end", ("leader",)),
     "loans": ("cast(client.loans as integer)", ("client",)),
     "debt": ("client.debt", ("client",)),
     "currency": ("monedas.c6400", ("monedas",)),
@@ -152,12 +155,12 @@ COLUMNS: dict[str, tuple[str, tuple[str, ...]]] = {
     "term": (days("l.opened", "due.last_day"), ("due",)),
     "principal_day": (f"coalesce({day('payment.principal_day')}, '')", ("payment",)),
     "interest_day": (f"coalesce({day('payment.interest_day')}, '')", ("payment",)),
-    "mode": ("coalesce(map {'F': 'Cuota Fija', 'H': 'Decreciente', '': 'Al Vencimiento', 'C': 'Irregular'}"
-             "[rtrim(l.mode_code)], '')", ()),
+    "mode": ("coalesce(map {LIT('F'): 'Cuota Fija', LIT('H'): 'Decreciente', '': 'Al Vencimiento', LIT('C'): 'Irregular'}"
+             "[CODE(l.mode_code)], '')", ()),
     "grace": (f"coalesce(case when not grace.undated then {days('l.fecha_desembolso', 'grace.first_capital')} end, 0)",
               ("grace",)),
-    "rate_kind": ("if(contains(upper(l.producto), 'COLABORADORES'), 'Variable', 'Fija')", ()),
-    "contract_rate": (f"case when {WRITTEN_OFF} or l.situacion_prestamo = 'Cobro Judicial' then disbursed.rate "
+    "rate_kind": ("if(contains(l.producto, LIT('COLABORADORES')), 'Variable', 'Fija')", ()),
+    "contract_rate": (f"case when {WRITTEN_OFF} or l.situacion_prestamo = LIT('Cobro Judicial') then disbursed.rate "
                       "else l.plain_rate end", ("disbursed",)),
     "rate": (f"case when {FROM_HISTORY} then latest_rate.rate else l.plain_rate end", ("latest_rate",)),
     "yearly_rate": (f"case when {WRITTEN_OFF} then {yearly('disbursed.rate')} else {yearly('l.tasa_interes')} end",
@@ -353,7 +356,19 @@ REASONS = " union all ".join(
     + [f"select {KEY}, 'duplicate key' from extract qualify count(*) over (partition by {KEY}) > 1"])
 
 
-def statements() -> dict[str, str]:
+def compared(sql: str, case_sensitive: bool) -> str:
+    """``CODE(x)``, a coded column, and ``LIT('x')``, a code, as the source
+    database compares them: no trailing blanks, case counting or not."""
+    column = r"rtrim(\1)" if case_sensitive else r"lower(rtrim(\1))"
+    sql = re.sub(r"CODE\(([\w.]+)\)", column, sql)
+    return re.sub(r"LIT\(('[^']*')\)", lambda m: m[1] if case_sensitive else m[1].lower(), sql)
+
+
+def statements(case_sensitive: bool = False) -> dict[str, str]:
+    return {name: compared(sql, case_sensitive) for name, sql in _statements().items()}
+
+
+def _statements() -> dict[str, str]:
     out = {name: statement(body) for name, body in LOAN_QUERIES.items()}
     # the two latest-rate queries read every disbursement row
     out["current_rate_latest_movement"] = statement(

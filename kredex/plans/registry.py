@@ -11,4 +11,6 @@ def queries():
 
 
 def oracle_sql():
-    return oracle.statements()
+    cased = oracle.statements(case_sensitive=True)
+    ends = catalog.CASED
+    return oracle.statements() | {n: cased[n.removesuffix(ends)] for n in catalog.QUERIES if n.endswith(ends)}

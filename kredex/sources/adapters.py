@@ -50,7 +50,7 @@ _add(_v("saldos", "orders", [
     ("jts_oid", "o_orderkey"),
     ("moneda", "cast(1 + o_orderkey % 3 as int)"),
     ("c1620", "o_orderdate"),
-    ("c1677", "case when o_orderkey % 8 = 7 then 'C ' when o_orderkey % 8 = 6 then 'Z' when o_orderstatus = 'O' then 'F ' when o_orderstatus = 'P' then 'H' else '' end"),
+    ("c1677", "case when o_orderkey % 16 = 5 then 'f' when o_orderkey % 16 = 9 then 'h  ' when o_orderkey % 16 = 14 then 'c' when o_orderkey % 8 = 7 then 'C ' when o_orderkey % 8 = 6 then 'Z' when o_orderstatus = 'O' then 'F ' when o_orderstatus = 'P' then 'H' else '' end"),
     ("c1632", f"cast(12 + o_orderkey % 24 as {DEC4})"),
     ("c1633", f"cast(15 + o_orderkey % 24 as {DEC4})"),
     ("c1704", "o_orderkey"),
@@ -65,16 +65,16 @@ _add(_v("universe", "orders join customer on o_custkey = c_custkey", [
     ("nro_prestamo", "o_orderkey"),
     ("codigo_cliente", "o_custkey"),
     ("nombre_cliente", "c_name"),
-    ("tipo_prestamo", "case when o_orderpriority = '5-LOW' then 'GRUPO SOLIDARIO' else 'INDIVIDUAL' end"),
-    ("tipo_persona", "case when c_mktsegment = 'MACHINERY' then 'J' else 'N' end"),
+    ("tipo_prestamo", "case when o_orderpriority = '5-LOW' and o_orderkey % 5 = 2 then 'Grupo Solidario  ' when o_orderpriority = '5-LOW' then 'GRUPO SOLIDARIO' else 'INDIVIDUAL' end"),
+    ("tipo_persona", "case when c_mktsegment = 'MACHINERY' and c_custkey % 3 = 1 then 'j ' when c_mktsegment = 'MACHINERY' then 'J' else 'N' end"),
     ("numero_ruc", "concat('J', cast(c_custkey as varchar(20)))"),
     ("numero_documento", "concat('D', cast(c_custkey as varchar(20)))"),
     ("codigo_moneda", "cast(1 + o_orderkey % 3 as int)"),
     ("saldo_mo", f"cast(o_totalprice as {DEC2})"),
     ("saldo_mn", f"cast(cast(o_totalprice as {DEC2}) * 2 as {DEC2})"),
-    ("situacion_prestamo", "case o_orderstatus when 'F' then 'Saneado' when 'P' then 'Cobro Judicial' else 'Vigente' end"),
-    ("codigo_estado", "case o_orderstatus when 'F' then 'C ' when 'P' then 'E' else 'A' end"),
-    ("producto", "case when c_mktsegment = 'HOUSEHOLD' then 'Prestamo Colaboradores 1' else c_mktsegment end"),
+    ("situacion_prestamo", "case when o_orderstatus = 'F' and o_orderkey % 6 = 1 then 'SANEADO' when o_orderstatus = 'F' then 'Saneado' when o_orderstatus = 'P' and o_orderkey % 6 = 2 then 'cobro judicial ' when o_orderstatus = 'P' then 'Cobro Judicial' else 'Vigente' end"),
+    ("codigo_estado", "case when o_orderstatus = 'F' and o_orderkey % 4 = 3 then 'c' when o_orderstatus = 'F' then 'C ' when o_orderstatus = 'P' and o_orderkey % 4 = 1 then 'e ' when o_orderstatus = 'P' then 'E' else 'A' end"),
+    ("producto", "case when c_mktsegment = 'HOUSEHOLD' and c_custkey % 2 = 1 then 'PRESTAMO COLABORADORES 2' when c_mktsegment = 'HOUSEHOLD' then 'Prestamo Colaboradores 1' else c_mktsegment end"),
     ("tasa_interes", f"cast(12 + o_orderkey % 24 as {DEC4})"),
     ("intereses_saneados_mn", f"cast(o_orderkey % 1000 as {DEC2})"),
     ("devengado_int_cte_mn", f"cast(o_orderkey % 700 as {DEC2})"),
@@ -83,8 +83,8 @@ _add(_v("universe", "orders join customer on o_custkey = c_custkey", [
     ("cantidad_cuotas_vencidas", "cast(o_orderkey % 5 as int)"),
     ("fecha_desembolso", "o_orderdate"),
     ("fecha_empeso_mora_capital", "case when o_orderstatus = 'O' then timestamp '1900-01-01 00:00:00' else o_orderdate end"),
-    ("clasificacion_prestamo", "concat(substring('ABCDEZ', cast(1 + o_orderkey % 6 as int), 1), case when o_orderkey % 4 = 0 then '  ' else '' end)"),
-    ("calificacion_utilizada", "concat(substring('ABCDEZ', cast(1 + o_orderkey % 5 as int), 1), case when o_orderkey % 3 = 0 then ' ' else '' end)"),
+    ("clasificacion_prestamo", "concat(substring(case when o_orderkey % 7 = 3 then 'abcdez' else 'ABCDEZ' end, cast(1 + o_orderkey % 6 as int), 1), case when o_orderkey % 4 = 0 then '  ' else '' end)"),
+    ("calificacion_utilizada", "concat(substring(case when o_orderkey % 7 = 4 then 'abcdez' else 'ABCDEZ' end, cast(1 + o_orderkey % 5 as int), 1), case when o_orderkey % 3 = 0 then ' ' else '' end)"),
     # descriptive pass-through fields
     ("descripcion_tipo_credito", "case when o_orderpriority = '1-URGENT' then 'COMERCIAL' else 'CONSUMO' end"),
     ("producto_agrupador", "c_mktsegment"),
@@ -110,7 +110,7 @@ _add(_v("universe", "orders join customer on o_custkey = c_custkey", [
 _add(_v("plan_pagos", "lineitem", [
     ("saldo_jts_oid", "l_orderkey"),
     ("numero_cuota", "l_linenumber"),
-    ("c2302", "l_shipdate"),
+    ("c2302", "case when l_partkey % 23 = 0 then null else l_shipdate end"),
     ("c2304", f"cast(l_extendedprice as {DEC2})"),
     ("c2305", f"cast(l_quantity as {DEC2})"),
     ("c2309", f"case when l_linestatus = 'O' then cast(l_extendedprice as {DEC2}) else cast(0 as {DEC2}) end"),
@@ -138,7 +138,7 @@ _add(_v("gastos", "lineitem", [
 # from the order's lines. Kinds are blank-padded for some rows.
 _add(_v("historia_orden", "orders", [
     ("saldos_jts_oid", "o_orderkey"),
-    ("tipomov", "case o_orderkey % 4 when 0 then 'A' when 1 then 'A ' when 2 then 'I' else 'I ' end"),
+    ("tipomov", "case o_orderkey % 6 when 0 then 'A' when 1 then 'A ' when 2 then 'I' when 3 then 'a' when 4 then 'i  ' else 'I ' end"),
     ("fechavalor", "o_orderdate"),
     ("capitalpagado", f"cast(0 as {DEC2})"),
     ("interespagado", f"cast(0 as {DEC2})"),
@@ -149,7 +149,7 @@ _add(_v("historia_orden", "orders", [
 ]))
 _add(_v("historia_linea", "lineitem", [
     ("saldos_jts_oid", "l_orderkey"),
-    ("tipomov", "case l_returnflag when 'A' then 'S' when 'R' then 'P' else 'P ' end"),
+    ("tipomov", "case when l_returnflag = 'A' and l_suppkey % 3 = 0 then 's' when l_returnflag = 'A' then 'S' when l_returnflag = 'R' then 'P' when l_suppkey % 3 = 1 then 'p ' else 'P ' end"),
     ("fechavalor", "case when l_partkey % 19 = 0 then null else l_shipdate end"),
     ("capitalpagado", f"case when l_returnflag = 'R' then cast(l_extendedprice as {DEC2}) else cast(0 as {DEC2}) end"),
     ("interespagado", f"case when l_returnflag = 'N' or l_linenumber = 2 then cast(l_quantity as {DEC2}) else cast(0 as {DEC2}) end"),
@@ -162,7 +162,7 @@ _add(_v("historia_linea", "lineitem", [
 # queries, which do not read the single disbursement.
 _add(_v("historia_raw", "events", [
     ("saldos_jts_oid", "user_id"),
-    ("tipomov", "case event_type when 'purchase' then 'P' when 'click' then 'P' when 'signup' then 'A' when 'view' then 'S' else 'I' end"),
+    ("tipomov", "case event_type when 'purchase' then 'P' when 'click' then 'P' when 'signup' then 'a ' when 'view' then 'S' else 'I' end"),
     ("fechavalor", "date_trunc('day', ts)"),
     ("capitalpagado", f"case when event_type = 'purchase' then cast(value as {DEC2}) else cast(0 as {DEC2}) end"),
     ("interespagado", f"case when event_type = 'click' then cast(value as {DEC2}) else cast(0 as {DEC2}) end"),
@@ -196,7 +196,7 @@ _add(_v("saldos_garantia", "part", [
 _add(_v("tipo_cambio", "orders", [
     ("fecha", "cast(o_orderdate as date)"),
     ("tipo_cambio", "cast(30 + (min(o_orderkey) % 500) * 0.01 as decimal(8,4))"),
-], group_by="o_orderdate"))
+], where="o_orderkey % 19 <> 7", group_by="o_orderdate"))
 
 _add(_v("devengamiento", "orders", [
     ("saldo_jts_oid", "o_orderkey"),
@@ -223,15 +223,15 @@ _add(_v("clientes", "customer", [("c0902", "c_custkey")], where="c_custkey % 53
 
 _add(_v("miembros", "orders", [
     ("saldo_jts_oid", "o_orderkey"),
-    ("cod_cliente_m", "o_custkey"),
+    ("cod_cliente_m", "o_custkey + case when o_custkey % 3 = 0 then 1 else 0 end"),
     ("nro_prestamo", "o_orderkey"),
 ], where="o_orderpriority = '5-LOW'"))
 
 _add(_v("relacion_grupo", "customer", [
     ("c3198", "c_custkey"),
-    ("c3199", "c_custkey"),
-    ("c3201", "case when c_custkey % 6 = 0 then 'N' else 'S' end"),
-    ("c3210", "case when c_custkey % 10 = 0 then 'AC  ' when c_custkey % 10 = 1 then 'BA' else 'AC' end"),
+    ("c3199", "c_custkey + case when c_custkey % 3 = 0 then 1 else 0 end"),
+    ("c3201", "case when c_custkey % 6 = 0 then 'N' when c_custkey % 6 = 1 then 's' else 'S' end"),
+    ("c3210", "case when c_custkey % 10 = 0 then 'AC  ' when c_custkey % 10 = 4 then 'ac' when c_custkey % 10 = 1 then 'BA' else 'AC' end"),
     ("tz_lock", "case when c_custkey % 33 = 32 then 1 else 0 end"),
 ]))
 
@@ -239,8 +239,8 @@ _add(_v("documento", "customer", [
     ("idpersona", "c_custkey"),
     ("nrodocumento", "concat('C', cast(c_custkey as varchar(20)))"),
     ("tipodoc", "'CED'"),
-    ("estado", "'A'"),
-    ("principal", "'S'"),
+    ("estado", "case when c_custkey % 13 = 12 then 'I' when c_custkey % 13 = 5 then 'a ' else 'A' end"),
+    ("principal", "case when c_custkey % 17 = 16 then 'N' when c_custkey % 17 = 3 then 's' else 'S' end"),
 ]))
 
 # One-row parameter tables of the run.

@@ -14,6 +14,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .collation import collated
+
 D2 = "decimal(15,2)"
 D4 = "decimal(15,4)"
 
@@ -74,15 +76,17 @@ class TableSource(Mapping):
     ``saldos_garantia`` (collateral balance rows) is the balance table
     itself; the dated snapshots are cut at the cutoff date. ``devengamiento``
     (accruals) may be stored by ``fecha`` too: the report's date filter is then
-    a partition filter, and a run reads only its own day.
+    a partition filter, and a run reads only its own day. With ``collation`` the
+    coded columns compare by it; without, tables are as stored.
     """
 
     def __init__(self, spark: SparkSession, root: str, cutoff: dt.date | None = None,
-                 paths: dict[str, str] | None = None):
+                 paths: dict[str, str] | None = None, collation: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.cutoff = cutoff
         self.paths = paths or {}
+        self.collation = collation
         self._cache: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
@@ -94,12 +98,12 @@ class TableSource(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
             if name == "saldos_garantia":
-                df = self["saldos"]
+                df = self.read("saldos")
             elif name in DATED:
                 df = snapshot(self.read(name), self.cutoff)
             else:
                 df = self.read(name)
-            self._cache[name] = df
+            self._cache[name] = df if self.collation is None else collated(name, df, self.collation)
         return self._cache[name]
 
     def __iter__(self):

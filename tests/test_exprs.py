@@ -14,11 +14,29 @@ def one(spark, col, data, schema):
     return spark.createDataFrame(data, schema).select(col.alias("r")).collect()
 
 
-def test_blank_padded_equality(spark):
-    rows = one(spark, X.blank_eq("c", ""), [(" ",), ("",), ("F",), ("F ",), (None,)], "c string")
-    assert [r.r for r in rows] == [True, True, False, False, None]
-    rows = one(spark, X.modality_text("c"), [(" ",), ("F ",), ("H",), ("C",), ("Z",), (None,)], "c string")
-    assert [r.r for r in rows] == ["Al Vencimiento", "Cuota Fija", "Decreciente", "Irregular", "", ""]
+def test_codes_compare_by_their_collation(spark):
+    codes = [(" ",), ("",), ("F",), ("F ",), ("f ",), (None,)]
+    for collation, lower in (("UTF8_BINARY_RTRIM", False), ("UTF8_LCASE_RTRIM", True)):
+        typed = f"c string collate {collation}"
+        assert [r.r for r in one(spark, X.is_code("c", ""), codes, typed)] == [True, True, False, False, False, None]
+        assert [r.r for r in one(spark, X.is_code("c", "F", "H"), codes, typed)] == [False, False, True, True, lower, None]
+        rows = one(spark, X.modality_text("c"), [(" ",), ("F ",), ("H",), ("C",), ("Z",), ("h",), (None,)], typed)
+        assert [r.r for r in rows] == ["Al Vencimiento", "Cuota Fija", "Decreciente", "Irregular", "",
+                                       "Decreciente" if lower else "", ""]
+
+
+def test_rate_type_contains_by_collation(spark):
+    from kredex.plans.columns import rate_type
+    data = [("PRESTAMO COLABORADORES 1",), ("Prestamo Colaboradores",), ("COLABORADOR",), (None,)]
+    for collation, second in (("UTF8_BINARY_RTRIM", "Fija"), ("UTF8_LCASE_RTRIM", "Variable")):
+        rows = one(spark, rate_type(), data, f"producto string collate {collation}")
+        assert [r.r for r in rows] == ["Variable", second, "Fija", "Fija"]
+
+
+def test_unknown_collation(spark):
+    from kredex.sources.collation import CollatedTables
+    with pytest.raises(ValueError, match="unknown collation"):
+        CollatedTables({}, "UNICODE_CI")
 
 
 def test_day_diff_counts_midnights(spark):
@@ -94,7 +112,8 @@ def test_padded_codes(spark):
     from kredex.functions import exprs as X
     from kredex.plans.columns import person_type_col
     rows = spark.createDataFrame([("A ", "J ", "INDIVIDUAL"), ("E", "J", "INDIVIDUAL "), ("", "N", "INDIVIDUAL")],
-                                 "g string, tipo_persona string, tipo_prestamo string") \
+                                 "g string collate UTF8_BINARY_RTRIM, tipo_persona string collate UTF8_BINARY_RTRIM, "
+                                 "tipo_prestamo string collate UTF8_BINARY_RTRIM") \
         .withColumn("coord_document", F.lit(None).cast("string")).withColumn("coord_client", F.lit(None).cast("bigint"))
     got = [tuple(r) for r in rows.select(X.grade_to_class("g"), person_type_col()).collect()]
     assert got == [(1, "Juridica"), (5, "Juridica"), (0, "Natural")]

@@ -133,6 +133,21 @@ def test_facts_are_hash_aggregates(spark, sf_dir):
         assert "SortAggregate" not in text and "HashAggregate" in text
 
 
+def test_one_exchange_per_child_table(spark, sf_dir):
+    """Every latest-row rule is a flat aggregate per loan, combined before its
+    one exchange; the history's interest payments alone have a date level, and
+    only they keep more than a row per loan in it."""
+    from kredex.operators import facts
+    from kredex.plans.catalog import Ctx
+    c = Ctx(spark, sf_dir)
+    for df, exchanges in ((facts.schedule_facts(c["plan_pagos"], c.p.cutoff_col), 1),
+                          (facts.original_schedule_facts(c["plan_pagos_original"]), 1),
+                          (facts.first_instalment_fees(c["gastos"]), 1), (facts.history_facts(c["historia"]), 2)):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"Exchange hashpartitioning", text)) == exchanges, text
+        assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+
+
 def test_wide_universe_is_shuffled_once(spark, sf_dir):
     """Lookups run on the universe's key columns; its wide rows have one exchange."""
     df = E.queries()["portfolio_extract"](spark, sf_dir)

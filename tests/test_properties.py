@@ -167,7 +167,9 @@ def test_extract_invariants(spark, sf_dir):
     ext = build_extract({n: c[n] for n in EXTRACT_VIEWS}, c.p)
     n = ext.count()
     twice = c["persona_documento"].where("idpersona % 29 = 0").select("idpersona").distinct()
-    fanned = (ext.join(twice, F.col("Cod_Cliente") == F.col("idpersona")).where("Num_Identificacion like 'XC%'")).count()
+    # in the views every third client is coordinated by the next person
+    person = F.col("Cod_Cliente") + F.when(F.col("Cod_Cliente") % 3 == 0, 1).otherwise(0)
+    fanned = (ext.join(twice, person == F.col("idpersona")).where("Num_Identificacion like 'XC%'")).count()
     assert fanned > 0 and ext.select("Cod_Credito").distinct().count() == n - fanned
     assert export_projection(ext).count() == n
 
