@@ -239,7 +239,9 @@ FROM lowered LEFT JOIN words USING (rid) LEFT JOIN named USING (rid)
 """
 
 def op10_blockwise_suffix_dedup(spark, sf_dir):
-    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+    out = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"), with_text=True)
+    return out.select(*[c for c in out.columns if c != "kept"], (out["n_bytes"] - out["n_removed"]).alias("n_kept"),
+                      suffix_dedup.remaining_text("kept").alias("text"))
 
 
 

@@ -34,10 +34,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, stored
+from .common import map_texts, marked_likely, stored
 
 LENGTH = 400
 SEED = 64
@@ -336,14 +336,28 @@ DIGEST = "substring(unhex(sha2(text, 256)), 1, 16)"
 
 def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and
-    ``kept``, the bytes that stay, with ``with_text=True``)."""
+    ``kept``, the bytes that stay, with ``with_text=True``). Texts that can have
+    lost nothing keep theirs where they are read; only the others are joined."""
     found = repeats(docs, text, **settings)
     rows = (docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text"))
             .select("doc_id", F.expr(DIGEST).alias("digest"), F.octet_length("text").cast("long").alias("n_bytes"),
                     F.sha2("text", 256).alias("whole"), *[F.col("text")] * bool(settings.get("with_text"))))
     zero = F.lit(0).cast("long")
-    out = rows.join(found, "digest", "left").select(
-        "doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"),
-        F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"),
-        *[F.coalesce("kept", "text").alias("kept")] * bool(settings.get("with_text")))
-    return out
+    kept = [F.coalesce("kept", "text").alias("kept")] * bool(settings.get("with_text"))
+
+    def told(of: DataFrame) -> DataFrame:
+        return of.select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"),
+                         F.coalesce("n_spans", zero).alias("n_spans"),
+                         F.coalesce("kept_sha256", "whole").alias("kept_sha256"), *kept)
+
+    if not settings.get("with_text"):
+        return told(rows.join(found, "digest", "left"))
+    marked = marked_likely(rows, found.select("digest"), "digest")
+    none = [F.lit(None).cast(found.schema[c].dataType).alias(c) for c in found.columns if c != "digest"]
+    return told(marked.where("__likely").join(found, "digest", "left")).unionByName(
+        told(marked.where(~F.col("__likely")).select("*", *none)))
+
+
+def remaining_text(kept) -> Column:
+    """The kept bytes as text; a character cut in two becomes U+FFFD."""
+    return F.make_valid_utf8(F.col(kept).cast("string"))

@@ -90,7 +90,11 @@ def test_repeats(make_docs, settings):
     texts += ["ab" * 300, "a" * 700, texts[0], None, "", "z" * 15]
     rows = [(i % 28, t) for i, t in enumerate(texts)]
     got = X.suffix_dedup(make_docs(rows, brute.CLASHES), length=40, seed=12, with_text=True, **settings)
-    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect())
+    got = got.withColumn("left_text", X.remaining_text("kept")).collect()
+    for r in got:
+        assert brute.sha(bytes(r.kept)) == r.kept_sha256 and len(r.kept) == r.n_bytes - r.n_removed
+        assert r.left_text == bytes(r.kept).decode("utf-8", "replace")
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got)
     want = sorted((d, *x) for (d, _), x in zip(rows, brute.repeated_bytes(texts, 40)))
     assert got == want
 
