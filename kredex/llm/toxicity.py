@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, map_texts, stored
+from .common import crc_mod, likely_in, map_texts, stored
 
 # Look-alikes of letters.
 LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -300,7 +300,7 @@ def train(docs: DataFrame, labels: DataFrame, cost: np.ndarray, doc_id: str = "d
     share = {y: min(1.0, MOST_LABELS / n) for y, n in counts.items()}
     point = F.pmod(F.xxhash64("i", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
     picked = rows.where(point < F.when(F.col("y") == 1, F.lit(share[1])).otherwise(F.lit(share[0])))
-    texts = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")).join(picked, "i")
+    texts = likely_in(docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")), picked, "i").join(picked, "i")
 
     def make():
         decoder = Decoder(cost)
