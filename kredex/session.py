@@ -6,10 +6,12 @@ given and only the SQL settings the engine relies on are applied to it.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import time
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the plans are designed for.
 ENGINE_SQL_CONF = {
@@ -23,10 +25,9 @@ ENGINE_SQL_CONF = {
     # joins partition on all their keys (Spark's default), so a salted join's
     # (key, salt) partitioning is never collapsed onto the key alone
     "spark.sql.requireAllClusterKeysForCoPartition": "true",
+    # a write split by a flag keeps a file open per value instead of sorting
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
-# Dated partitions of the result are replaced one at a time: the publish step
-# passes ``partitionOverwriteMode=dynamic`` on its own writes instead of
-# changing the session default for every other write.
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -66,13 +67,100 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="kredex-shared-")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder for an intermediate table."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete an intermediate table (by the file system that holds it)."""
+    """Delete a folder (by the file system that holds it)."""
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """(path, age in seconds) of the folders right below ``path``."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return []
+    return [(x.getPath().toString(), time.time() - x.getModificationTime() / 1000)
+            for x in fs.listStatus(where) if x.isDirectory()]
+
+
+class Scope:
+    """Owns the folder of one piece of work under the shared folder, and all
+    intermediate tables in it. As a context manager it removes the folder on
+    success and on failure; the scope of a session (``session_scope``) removes
+    it when the session's process ends, as session tables vanish by themselves.
+    Folders of runs that died are removed by ``sweep``."""
+
+    PREFIX = "kredex-scope-"
+
+    def __init__(self, spark: SparkSession, base: str | None = None):
+        self.spark = spark
+        self.folder = f"{base or shared_folder(spark)}/{self.PREFIX}{uuid.uuid4().hex}"
+
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{name}-{uuid.uuid4().hex}"
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written once and read back: cuts the lineage, and gives later
+        joins its size."""
+        path = self.path(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        remove_path(self.spark, self.folder)
+
+    def __enter__(self) -> "Scope":
+        return self
+
+    def __exit__(self, *why) -> None:
+        self.close()
+
+
+_SESSIONS: dict[str, Scope] = {}
+
+
+def session_scope(spark: SparkSession) -> Scope:
+    """The scope of tables that a result reads lazily: it lives as long as the
+    session's application."""
+    app = spark.sparkContext.applicationId
+    if app not in _SESSIONS:
+        _SESSIONS[app] = Scope(spark)
+    return _SESSIONS[app]
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the session's intermediate tables; results not yet consumed can
+    no longer be read."""
+    scope = _SESSIONS.pop(spark.sparkContext.applicationId, None)
+    if scope is not None:
+        scope.close()
+
+
+@atexit.register
+def _release_all() -> None:
+    for app in list(_SESSIONS):
+        scope = _SESSIONS.pop(app)
+        try:
+            scope.close()
+        except Exception:       # the session is gone already: ``sweep`` of a later run finds the folder
+            pass
+
+
+def sweep(spark: SparkSession, older_than_hours: float = 72, base: str | None = None) -> int:
+    """Remove scopes of runs that died: older than the longest run may take,
+    and not of this process."""
+    own = {s.folder.rsplit("/", 1)[1] for s in _SESSIONS.values()}
+    gone = 0
+    for path, age in folders(spark, base or shared_folder(spark)):
+        name = path.rsplit("/", 1)[1]
+        if name.startswith(Scope.PREFIX) and name not in own and age > older_than_hours * 3600:
+            remove_path(spark, path)
+            gone += 1
+    return gone
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for an intermediate table of the session."""
+    return session_scope(spark).path(name)

@@ -14,7 +14,7 @@ from decimal import Decimal as D
 import pytest
 
 from kredex.plans.job import run_extract
-from kredex.plans.publish import read_partition
+from kredex.plans.publish import published as table, read_partition, rejected as rejected_rows
 from kredex.sources.tables import INPUT_SCHEMAS
 
 CUT = dt.datetime(2018, 10, 31)
@@ -202,7 +202,7 @@ def published(spark):
     rows = {int(r["Cod_Credito"]) - 1000: r.asDict()
             for r in read_partition(spark, out, p.cutoff, p.version).collect()}
     rejected = {int(r["Cod_Credito"]) - 1000: r["reasons"]
-                for r in spark.read.parquet(rej).collect()}
+                for r in rejected_rows(spark, out).collect()}
     return dict(p=p, rows=rows, rejected=rejected, export=exp, root=root, work=work)
 
 
@@ -365,8 +365,8 @@ def test_rerun_replaces_its_partition_even_by_nothing(spark, published):
         publish(_small(spark, r, keys), out, r, policy="quarantine", reject_path=rej)
 
     def shown():
-        return [sorted((str(x.Interno_ControlVersion), int(x.Cod_Credito)) for x in spark.read.parquet(p).collect())
-                for p in (out, rej)]
+        return [sorted((str(x.Interno_ControlVersion), int(x.Cod_Credito)) for x in rows.collect())
+                for rows in (table(spark, out), rejected_rows(spark, out))]
 
     v = run.version
     go(other, range(100, 104))
@@ -400,18 +400,10 @@ def test_strict_error_counts_every_reason(spark, published):
 
 
 def test_rejected_decimals_keep_their_raw_value(published, spark):
-    rows = spark.read.parquet(f"{published['work']}/rejects").where("size(raw_values) > 0").collect()
+    rows = rejected_rows(spark, f"{published['work']}/result").where("size(raw_values) > 0").collect()
     assert any(v.startswith("Tasa_efectiva_vigente=") and float(v.split("=")[1]) > 1e11 for r in rows for v in r["raw_values"])
 
 
-def test_staging_is_removed(spark, published, tmp_path, monkeypatch):
-    from kredex.plans import publish as P
-    seen = []
-    monkeypatch.setattr(P, "scratch_path", lambda s, n: seen.append(f"{tmp_path}/{n}") or seen[-1])
-    P.publish(_small(spark, published["p"], [1]), f"{tmp_path}/out", published["p"])
-    assert seen and not any(os.path.exists(p) for p in seen)
-
-
 def test_shared_folder_setting_is_respected(spark, monkeypatch):
     from kredex import session
     assert session.shared_folder(spark)
@@ -434,5 +426,6 @@ def test_command_line_job(spark, capsys):
     main(["--root", f"{work}/src", "--out", f"{work}/out", "--policy", "quarantine",
           "--rejects", f"{work}/rej", "--export", f"{work}/exp", "--tc", "32.1234"])
     assert "published cutoff 2018-10-31 version 1-0-0" in capsys.readouterr().out
-    assert glob.glob(f"{work}/out/Interno_FechaCorte=*/Interno_ControlVersion=1-0-0/*.parquet")
+    assert glob.glob(f"{work}/out/runs/*/*.parquet") and glob.glob(f"{work}/rej/runs/*/*.parquet")
+    assert read_partition(spark, f"{work}/out", CUT, "1-0-0").count() > 0
     assert glob.glob(f"{work}/exp/part-*")

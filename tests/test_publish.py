@@ -1,0 +1,182 @@
+"""Two-phase publishing, staging with observed checks, and scoped
+intermediate tables."""
+
+import datetime as dt
+import os
+import re
+from decimal import Decimal as D
+
+import pytest
+from pyspark.sql import functions as F
+
+from kredex import session
+from kredex.operators import quality
+from kredex.params import RunParams
+from kredex.plans import publish as P
+from kredex.schemas import RESULT_COLUMNS
+
+CUT = dt.datetime(2018, 10, 31)
+RUN = RunParams(cutoff=CUT, tc=D("32.1234"), version="1-0-0")
+OTHER = RunParams(cutoff=CUT, tc=D("32.1234"), version="2-0-0")
+
+
+def result(spark, keys, run=RUN, bad=lambda k: k % 5 == 0, mark="x"):
+    """Result rows; a bad one has no sector."""
+    def value(name, kind, k):
+        if name == "Cod_Credito":
+            return D(k)
+        if name == "Interno_FechaCorte":
+            return run.cutoff
+        if name == "Interno_ControlVersion":
+            return run.version
+        if name == "Sector":
+            return None if bad(k) else mark
+        return {"string": "a", "int": 1, "timestamp_ntz": run.cutoff}.get(kind, D(1))
+
+    ddl = ", ".join(f"{c} {t}" for c, t, _ in RESULT_COLUMNS)
+    return spark.createDataFrame([tuple(value(c, t, k) for c, t, _ in RESULT_COLUMNS) for k in keys], ddl)
+
+
+def shown(spark, path):
+    """What readers see: (key, version, mark) of the good rows, keys of the rejected."""
+    good = sorted((int(r.Cod_Credito), r.Interno_ControlVersion, r.Sector) for r in P.published(spark, path).collect())
+    return good, sorted((int(r.Cod_Credito), r.Interno_ControlVersion) for r in P.rejected(spark, path).collect())
+
+
+class Killed(Exception):
+    pass
+
+
+STEPS = ["_prepare", "_prepare", "_verified", "_commit", "_clean", "vacuum"]
+
+
+@pytest.mark.parametrize("after", [False, True])
+@pytest.mark.parametrize("step", range(len(STEPS)))
+def test_a_run_that_dies_leaves_the_old_or_the_new_state(spark, tmp_path, monkeypatch, step, after):
+    path, rejects = f"{tmp_path}/result", f"{tmp_path}/rejects"
+    P.publish(result(spark, range(10), mark="old"), path, RUN, "quarantine", rejects)
+    P.publish(result(spark, range(20, 23), OTHER, mark="kept"), path, OTHER, "quarantine", rejects)
+    old = shown(spark, path)
+    name, nth = STEPS[step], STEPS[:step].count(STEPS[step])
+    real, calls = getattr(P, name), []
+
+    def dying(*a, **k):
+        calls.append(1)
+        if len(calls) == nth + 1:
+            if after:
+                real(*a, **k)
+            raise Killed(name)
+        return real(*a, **k)
+
+    with monkeypatch.context() as m:
+        m.setattr(P, name, dying)
+        with pytest.raises(Killed):
+            P.publish(result(spark, range(5, 16), mark="new"), path, RUN, "quarantine", rejects)
+    kept = [x for x in old[0] if x[1] == "2-0-0"], [x for x in old[1] if x[1] == "2-0-0"]
+    new = (sorted([(k, "1-0-0", "new") for k in range(5, 16) if k % 5] + kept[0]),
+           sorted([(k, "1-0-0") for k in range(5, 16) if k % 5 == 0] + kept[1]))
+    committed = STEPS.index("_commit")
+    assert shown(spark, path) == (new if step > committed or (step == committed and after) else old)
+    # the next run publishes, and what dead runs left is removed
+    P.publish(result(spark, range(5, 16), mark="new"), path, RUN, "quarantine", rejects)
+    assert shown(spark, path) == new
+    P.vacuum(spark, path, older_than_hours=-1)
+    assert shown(spark, path) == new
+    named = {c["run"] for c in P.last_commits(spark, path)}
+    assert {x for root in (path, rejects) for x in os.listdir(f"{root}/runs")} == named
+
+
+def test_a_torn_write_is_not_seen(spark, tmp_path, monkeypatch):
+    """Files of a run without its commit, and lost rows, never reach readers."""
+    path, rejects = f"{tmp_path}/result", f"{tmp_path}/rejects"
+    P.publish(result(spark, range(6)), path, RUN, "quarantine", rejects)
+    old = shown(spark, path)
+    result(spark, range(50, 60)).write.parquet(f"{path}/runs/torn")
+    assert shown(spark, path) == old
+    real = P._prepare
+    monkeypatch.setattr(P, "_prepare", lambda rows, *a: real(rows.where("Cod_Credito <> 3"), *a))
+    with pytest.raises(RuntimeError, match="4 good and 2 rejected rows were written of 7|written of"):
+        P.publish(result(spark, range(1, 8)), path, RUN, "quarantine", rejects)
+    assert shown(spark, path) == old
+
+
+def test_strict_failure_keeps_the_old_rows(spark, tmp_path):
+    path = f"{tmp_path}/result"
+    P.publish(result(spark, [1, 2, 3]), path, RUN)
+    with pytest.raises(quality.QualityError, match=r"duplicate key: 2, length Sucursal: 1, null Sector: 1"):
+        P.publish(result(spark, [5, 6, 6, 7]).withColumn("Sucursal", F.when(F.col("Cod_Credito") == 7, F.repeat(F.lit("s"), 101))
+                                                         .otherwise("s")), path, RUN)
+    assert [k for k, _, _ in shown(spark, path)[0]] == [1, 2, 3]
+
+
+def test_parts_are_replaced_alone_also_by_nothing(spark, tmp_path):
+    path = f"{tmp_path}/result"
+    P.publish(result(spark, [1, 2]), path, RUN)
+    P.publish(result(spark, [3], OTHER), path, OTHER)
+    P.publish(result(spark, []), path, RUN)
+    assert shown(spark, path) == ([(3, "2-0-0", "x")], [])
+    assert P.read_partition(spark, path, CUT, "1-0-0").count() == 0
+    log = {(r.run, r.version): (r.good_rows, r.seq) for r in P.commits(spark, path).collect()}
+    assert sorted(log.values()) == [(0, 3), (1, 2), (2, 1)]
+    assert P.last_commits(spark, f"{tmp_path}/never") == [] and P.published(spark, f"{tmp_path}/never").count() == 0
+
+
+def test_checks_are_counted_while_staging(spark, tmp_path):
+    """One pass writes, splits and counts; either part is read alone; only the
+    key is read again."""
+    df = result(spark, [*range(30), 7]).repartition(3)
+    with session.Scope(spark, str(tmp_path)) as scope:
+        staged = quality.stage(df, scope)
+        assert (staged.n_rows, staged.n_failed) == (31, 6)
+        assert staged.counts == {"null Sector": 6, "duplicate key": 2}
+        assert sorted(int(r.Cod_Credito) for r in staged.good().collect()) == [k for k in range(30) if k % 5 and k != 7]
+        got = {(int(r.Cod_Credito), tuple(r.reasons)) for r in staged.rejected().collect()}
+        assert got == {(k, ("null Sector",)) for k in range(0, 30, 5)} | {(7, ("duplicate key",))}
+        plain = quality.flag_rows(df, scope=scope)
+        assert {(int(r.Cod_Credito), tuple(r.reasons)) for r in plain.where("size(reasons) > 0").collect()} == got
+        clean = quality.stage(result(spark, range(40), bad=lambda k: k == 11), scope)
+        scans = lambda d: re.findall(r"PartitionFilters: \[([^\]]*)", d._jdf.queryExecution().executedPlan().toString())
+        # no duplicates: each part is one scan of its own folder, no join
+        for part in (clean.good(), clean.rejected()):
+            assert len(scans(part)) == 1 and "failed" in scans(part)[0]
+            assert "Join" not in part._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scopes_leave_nothing(spark, tmp_path, monkeypatch):
+    base = f"{tmp_path}/shared"
+    monkeypatch.setattr(session, "shared_folder", lambda s: base)
+    with session.Scope(spark) as scope:
+        scope.written(spark.range(3), "t")
+        assert os.listdir(base)
+    assert os.listdir(base) == []
+    with pytest.raises(Killed):
+        with session.Scope(spark) as scope:
+            scope.written(spark.range(3), "t")
+            raise Killed
+    assert os.listdir(base) == []
+    with pytest.raises(quality.QualityError):
+        P.publish(result(spark, [5]), f"{tmp_path}/out", RUN)
+    P.publish(result(spark, [1]), f"{tmp_path}/out", RUN)
+    assert os.listdir(base) == []
+
+
+def test_queries_leave_nothing_after_release(spark, sf_dir, tmp_path, monkeypatch):
+    import __spark_entry__ as E
+    base = f"{tmp_path}/shared"
+    session.release(spark)
+    monkeypatch.setattr(session, "shared_folder", lambda s: base)
+    for name in ("dq_quarantine", "universe_snapshot"):
+        assert E.queries()[name](spark, sf_dir).count() > 0
+        assert os.listdir(base)
+        session.release(spark)
+        assert os.listdir(base) == []
+
+
+def test_sweep_takes_only_dead_scopes(spark, tmp_path):
+    base = str(tmp_path)
+    dead = session.Scope(spark, base)
+    dead.written(spark.range(3), "t")
+    os.makedirs(f"{base}/other")
+    assert session.sweep(spark, older_than_hours=1, base=base) == 0
+    assert session.sweep(spark, older_than_hours=-1, base=base) == 1
+    assert os.listdir(base) == ["other"]
