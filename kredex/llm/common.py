@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import remove_path, scratch_path
+
 # The word of the text contracts (anything but ASCII white space)
 # and the ASCII white space between words. ``bytes.split()`` cuts at exactly
 # these bytes and ``bytes.lower()`` lower-cases exactly A-Z.
@@ -26,16 +26,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder path under the shared folder named by
-    ``spark.checkpoint.dir``. Only a local master (tests) may go without that
-    setting; it then gets a scratch folder."""
-    base = (spark.conf.get("spark.checkpoint.dir", None)
-            or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="kredex-llm-")
-    return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    """A new folder path in the session's folder for intermediate tables, which
+    is removed when the session's process ends."""
+    return scratch_path(spark, "llm")
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -49,7 +42,6 @@ def stored(df: DataFrame) -> DataFrame:
 
 def dropped(table: DataFrame) -> None:
     """Delete a table written by ``stored`` that nothing reads any more."""
-    from ..session import remove_path
     for f in {x.rsplit("/", 1)[0] for x in table.inputFiles()}:
         if "/llm-" in f:
             remove_path(table.sparkSession, f)
