@@ -45,9 +45,11 @@ SEED = 64
 PART = 1 << 18
 #: Bytes of slices gathered to one block, and the bucket size beyond which
 #: windows are counted by digest.
-BLOCK_BYTES = 4 << 20
-HOT_BYTES = 12 << 20
+BLOCK_BYTES = 2 << 20
+HOT_BYTES = 8 << 20
 
+#: Bits of a rank in a sort key, beside five bytes of text.
+RANK_BITS = 24
 # The difference cover: any two residues mod 7 have a shift d < 7 that takes
 # both into it.
 PERIOD, COVER = 7, (0, 1, 3)
@@ -134,17 +136,17 @@ def cover_ranks(text: np.ndarray, length: int) -> tuple[int, np.ndarray, np.ndar
 
 
 def _bucket_order(text: np.ndarray, at: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Suffixes with equal first two bytes, sorted. Each residue class is
-    sorted by (bytes before the next cover position, rank there); the classes
-    are merged by binary searches, each pair at its own shift."""
-    ahead = _words(text, at) << np.uint64(16) >> np.uint64(32)      # bytes 2 to 5
+    """Suffixes with an equal first byte, sorted. Each residue class is sorted
+    by (bytes before the next cover position, rank there); the classes are
+    merged by binary searches, each pair at its own shift."""
+    ahead = _words(text, at) << np.uint64(8) >> np.uint64(24)       # bytes 1 to 5
     classes = [np.flatnonzero(at % PERIOD == r) for r in range(PERIOD)]
     keys: dict[tuple[int, int], np.ndarray] = {}
     for r, own in enumerate(classes):
         for d in range(PERIOD):
             if (r + d) % PERIOD in COVER and len(own):
-                lead = ahead[own] >> np.uint64(8 * (6 - d)) if d > 2 else np.uint64(0)
-                keys[r, d] = lead << np.uint64(32) | rank[at[own] + d]
+                lead = ahead[own] >> np.uint64(8 * (6 - d)) if d > 1 else np.uint64(0)
+                keys[r, d] = lead << np.uint64(RANK_BITS) | rank[at[own] + d]
     order = np.zeros(len(at), np.int64)
     sorted_keys = {k: np.sort(v) for k, v in keys.items()}
     for r, own in enumerate(classes):
@@ -165,14 +167,17 @@ def repeated_windows(text: np.ndarray, windows: np.ndarray, length: int) -> np.n
     ``text`` runs at least ``length`` + 8 bytes past the last window;
     ``length`` is 16 at least."""
     short, ranked, rank = cover_ranks(text, length)
-    lead = text[windows].astype(np.int64) << 8 | text[windows + 1]
-    by_lead = np.argsort(lead, kind="stable")
+    if len(text) >= 2 << RANK_BITS:
+        raise ValueError("the block is too large for its ranks")
+    lead = text[windows]
+    by_lead = np.argsort(lead, kind="stable").astype(np.int32)
     cuts = np.flatnonzero(np.diff(lead[by_lead])) + 1
+    del lead
     flag = np.zeros(len(text), bool)
     for bucket in np.split(by_lead, cuts):
         if len(bucket) < 2:
             continue
-        s = _bucket_order(text, windows[bucket], rank)
+        s = _bucket_order(text, windows[bucket].astype(np.int64), rank)
         i, j = s[:-1], s[1:]
         d = SHIFT[i % PERIOD, j % PERIOD]
         # equal first 8 bytes, equal ``short`` bytes at d and at the last
@@ -193,9 +198,9 @@ def block_repeats(pieces: list[bytes], length: int) -> list[list[tuple[int, int]
     start = np.concatenate([[0], np.cumsum(size)[:-1]])
     text = np.frombuffer(b"".join([*pieces, bytes(length + 16)]), np.uint8)
     count = size - length + 1
-    piece = np.repeat(np.arange(len(pieces)), count)
-    offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    hit = np.flatnonzero(repeated_windows(text, start[piece] + offset, length))
+    piece = np.repeat(np.arange(len(pieces), dtype=np.int32), count)
+    offset = np.arange(count.sum(), dtype=np.int32) - np.repeat((np.cumsum(count) - count).astype(np.int32), count)
+    hit = np.flatnonzero(repeated_windows(text, start.astype(np.int32)[piece] + offset, length))
     out: list[list[tuple[int, int]]] = [[] for _ in pieces]
     if len(hit):
         p, o = piece[hit], offset[hit]
@@ -221,10 +226,11 @@ def _slicer(length: int, seed: int):
 
 def _sort_blocks(length: int, block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple[bytes, int, bytes]] = []
-        size, last = 0, None
+        rows: list[tuple[bytes, int, bytes]] = []       # whole buckets of the block
+        own: list[tuple[bytes, int, bytes]] = []        # the bucket being read
+        size, own_size, last = 0, 0, None
 
-        def flush():
+        def found_in(rows: list):
             got = block_repeats([r[2] for r in rows], length)
             found = [(d, lo + a, lo + b) for (d, lo, _), runs in zip(rows, got) for a, b in runs]
             return pa.RecordBatch.from_arrays(
@@ -233,14 +239,19 @@ def _sort_blocks(length: int, block_bytes: int):
 
         for batch in batches:
             for bucket, digest, lo, piece in zip(*(batch[c].to_pylist() for c in ("bucket", "digest", "lo", "piece"))):
-                if rows and bucket != last and size >= block_bytes:
-                    yield flush()
-                    rows, size = [], 0
-                rows.append((digest, lo, piece))
-                size += len(piece)
+                if bucket != last:
+                    if rows and size + own_size > block_bytes:
+                        yield found_in(rows)
+                        rows, size = [], 0
+                    rows, size, own, own_size = rows + own, size + own_size, [], 0
+                own.append((digest, lo, piece))
+                own_size += len(piece)
                 last = bucket
-        if rows:
-            yield flush()
+        if rows and size + own_size > block_bytes:
+            yield found_in(rows)
+            rows = []
+        if rows or own:
+            yield found_in(rows + own)
 
     return run
 
