@@ -252,6 +252,9 @@ LOAN_QUERIES: dict[str, str] = {
     "first_instalment_fees": over_loans({"cod_credito": "number", "importe_gastos": dec("{fees}", "38,2")}),
     "last_payment_dates": over_loans({"cod_credito": "number", "fecha_ultimo_pago_ppal": "principal_day",
                                       "fecha_ultimo_pago_int": "interest_day"}),
+    "bucketed_loan_facts": over_loans({
+        "cod_credito": "number", "dias_mora_principal": "principal_past", "dias_mora_intereses": "interest_past",
+        "monto_ult_pago_int": dec("{last_interest}", "38,2"), "tasa_vigente": dec("{rate}", "15,4")}),
     "interest_paid_on_last_date": over_loans({"cod_credito": "number", "monto_ult_pago_int": dec("{last_interest}", "38,2")}),
     "disbursement_rate_single": over_loans({"cod_credito": "number", "tasa_contractual": dec("{contract_rate}", "15,4")}),
     "effective_annual_rate": over_loans({"cod_credito": "number", "tasa_efectiva_vigente": dec("{yearly_rate}", "15,4")}),
@@ -398,6 +401,10 @@ from (select saldo_jts_oid, numero_cuota, c2302, cast(c2302 as date) as d from p
     out["dq_quarantine"] = statement(REASONS, ctes=EXTRACT_CTE)
     good = f"(select * from extract where {KEY} not in (select {KEY} from ({REASONS})))"
     out["publish_partition_overwrite"] = statement(_exported(good), ctes=EXTRACT_CTE)
+    out["sink_table_insert"] = statement(
+        f"select {KEY}, Sector, Tasa_mora, Interno_FechaCorte, Interno_ControlVersion, true as generated, "
+        f"(select count(*) > 0 from extract where length(Sector) > {TEXT_LIMITS['Sector']}) as over_long_refused from {good}",
+        ctes=EXTRACT_CTE)
     failed = f"{KEY} in (select {KEY} from ({REASONS}))"
     out["publish_rerun"] = statement(
         f"select {KEY}, Interno_ControlVersion as version, if({failed}, 'rejects', 'result') as shown_in "

@@ -25,6 +25,18 @@ ENGINE_SQL_CONF = {
     # joins partition on all their keys (Spark's default), so a salted join's
     # (key, salt) partitioning is never collapsed onto the key alone
     "spark.sql.requireAllClusterKeysForCoPartition": "true",
+    # child tables also hold loans that no balance row has: where a child scan is
+    # large, its rows are thinned by a Bloom filter of the spine's loan keys before
+    # they are aggregated and shuffled. The filter is built from a side of a
+    # checked size (its scan below 256 MB, about 16 million loans) and has 16 MB at
+    # most; a larger spine goes without
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "16000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "16000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "134217728",
+    "spark.sql.optimizer.runtimeFilter.number.threshold": "24",
     # a write split by a flag keeps a file open per value instead of sorting
     "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
