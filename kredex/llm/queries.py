@@ -183,11 +183,22 @@ WITH texts AS (
 ), ratio AS (
   SELECT pair, round(1000 * ln((max(share) FILTER (label = 'r') + 1::DOUBLE / {k}) / 2 / max(share) FILTER (label = 'w')))::BIGINT AS r
   FROM model GROUP BY pair
+), cut AS (
+  SELECT c.rid, c.a AS run_a, c.b AS run_b, c.value, x.a, x.b,
+         max(x.b) OVER w AS done, lead(x.a) OVER w AS next
+  FROM found c JOIN base x ON x.rid = c.rid AND x.a < c.b AND c.a < x.b WHERE c.kind = 3
+  WINDOW w AS (PARTITION BY c.rid, c.a ORDER BY x.a, x.kind, x.b)
+), candidates AS (
+  SELECT rid, a, b, value FROM found c WHERE kind = 3
+    AND NOT EXISTS (SELECT 1 FROM base WHERE base.rid = c.rid AND base.a < c.b AND c.a < base.b)
+  UNION ALL SELECT rid, a, b, substr(run, a - run_a + 1, b - a) FROM (
+    SELECT rid, run_a, value AS run, greatest(done, run_a) AS a, least(coalesce(next, run_b), run_b) AS b FROM cut
+    UNION ALL SELECT rid, run_a, any_value(value), run_a, min(a) FROM cut GROUP BY rid, run_a)
+  WHERE b - a >= {secrets.LEAST_CANDIDATE}
 ), added AS (
-  SELECT c.rid, c.kind, c.a, c.b
-  FROM (SELECT *, unnest(range(1, length(value))) AS i FROM found WHERE kind = 3) c JOIN ratio ON ratio.pair = substr(value, i, 2)
-  WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.rid = c.rid AND base.a < c.b AND c.a < base.b)
-  GROUP BY c.rid, c.kind, c.a, c.b, length(value) HAVING sum(r) >= {secrets.THRESHOLD} * (length(value) - 1)
+  SELECT c.rid, 3 AS kind, c.a, c.b
+  FROM (SELECT *, unnest(range(1, length(value))) AS i FROM candidates) c JOIN ratio ON ratio.pair = substr(value, i, 2)
+  GROUP BY c.rid, c.a, c.b, length(value) HAVING sum(r) >= {secrets.THRESHOLD} * (length(value) - 1)
 ), spans AS (
   SELECT rid, kind, a, b FROM base UNION ALL SELECT * FROM added
 ), told AS (

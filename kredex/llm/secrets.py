@@ -6,8 +6,9 @@ the values of the base spans of the whole corpus are the random strings, its
 long words outside base spans, in the ways identifiers are formed of words, the
 ordinary identifiers. A candidate (a run of
 ``LEAST_CANDIDATE`` or more key characters) whose log-likelihood ratio per
-transition reaches ``THRESHOLD`` is added as a ``markov`` span, unless it
-overlaps a base span.
+transition reaches ``THRESHOLD`` is added as a ``markov`` span. Base spans are cut
+out of a run first; each rest of at least ``LEAST_CANDIDATE`` characters is a
+candidate of its own.
 
 The models are transition counts, at most one row per pair of characters of
 the alphabet, so collecting them has a fixed bound. Ratios are whole
@@ -92,11 +93,23 @@ def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     return once(docs, "base", F.array_sort(F.concat(assign, _spans(t, ACCESS, 1), _spans(t, HEX, 2))))
 
 
+def _characters(token: Column) -> Column:
+    """The characters of a string. Places in a string are found by walking it,
+    those of an array directly, so long tokens are split once."""
+    return F.split(token, "", -1)
+
+
+def _adjacent(values: Column, f) -> Column:
+    """``f`` over neighbouring elements of an array of one element or more."""
+    n = F.size(values) - 1
+    return F.zip_with(F.slice(values, F.lit(1), n), F.slice(values, F.lit(2), n), f)
+
+
 def _transitions(words: DataFrame) -> DataFrame:
     """Counts of adjacent characters in the column ``w``, characters outside
     the alphabet left out."""
-    pairs = words.where("length(w) > 1").select(F.explode(F.transform(
-        F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.col("w").substr(i, F.lit(2)))).alias("pair"))
+    rows = once(words.where("length(w) > 1"), "c", _characters(F.col("w")))
+    pairs = rows.select(F.explode(_adjacent(F.col("c"), lambda a, b: F.concat(a, b))).alias("pair"))
     return pairs.where(F.col("pair").rlike(r"^[A-Za-z0-9+/_-]{2}$")).groupBy("pair").count()
 
 
@@ -138,12 +151,9 @@ def ratios(random: dict[str, int], words: dict[str, int]) -> list[int]:
 def _ratio(token: Column, table: Column) -> Column:
     """Sum of the transition ratios of a token of alphabet characters."""
     k = len(ALPHABET)
-
-    def at(i: Column) -> Column:
-        return F.position(token.substr(i, F.lit(1)), F.lit(ALPHABET))
-
-    return F.aggregate(F.sequence(F.lit(1), F.length(token) - 1), F.lit(0).cast("long"),
-                       lambda s, i: s + F.element_at(table, (at(i) - 1) * k + at(i + 1)))
+    codes = F.transform(_characters(token), lambda c: F.position(c, F.lit(ALPHABET)))
+    steps = _adjacent(codes, lambda a, b: F.element_at(table, (a - 1) * k + b))
+    return F.aggregate(steps, F.lit(0).cast("long"), lambda s, x: s + x)
 
 
 def _table(model: list[int]) -> Column:
@@ -154,14 +164,45 @@ def _random(token: Column, table: Column) -> Column:
     return _ratio(token, table) >= THRESHOLD * (F.length(token) - 1)
 
 
+def _running_max(values: Column) -> Column:
+    """Running maxima of an array of ints, by doubling."""
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int"))
+
+    def double(acc: Column, k: Column) -> Column:
+        back = F.pow(F.lit(2), k).cast("int")
+        return F.transform(acc, lambda x, i: F.when(i >= back, F.greatest(x, F.get(acc, i - back))).otherwise(x))
+
+    return F.aggregate(rounds, values, double)
+
+
+def _rests(run: Column, base: Column) -> Column:
+    """What is left of a candidate run (ASCII) without the sorted base spans it
+    overlaps: the gaps of LEAST_CANDIDATE characters or more."""
+    begins = F.concat(F.array(run["start"]), _running_max(F.transform(base, lambda b: F.greatest(b["end"], run["start"]))))
+    ends = F.concat(F.transform(base, lambda b: F.least(b["start"], run["end"])), F.array(run["end"]))
+    bytes_ = run["value"].cast("binary")
+    gaps = F.filter(F.zip_with(begins, ends, lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
+                    lambda g: g["b"] - g["a"] >= LEAST_CANDIDATE)
+    return F.transform(gaps, lambda g: F.struct(
+        g["a"].alias("start"), F.lit(3).alias("kind"), g["b"].alias("end"),
+        F.substring(bytes_, g["a"] - run["start"] + 1, g["b"] - g["a"]).cast("string").alias("value"))).cast(_SPAN)
+
+
 def added_spans(rows: DataFrame, model: list[int], text: str = "text") -> DataFrame:
     """``rows`` (with ``base``) plus the array column ``added``."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     table = _table(model)
     rows = once(rows, "added", _spans(t, CANDIDATE, 3))
-    return once(rows, "added", F.when(F.size("added") == 0, F.col("added")).otherwise(F.filter(
-        "added", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        & _random(s["value"], table))))
+
+    def pieces(s: Column) -> Column:
+        over = F.filter("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+        return F.when(F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])), _rests(s, over)) \
+            .otherwise(F.array(s))
+
+    rows = once(rows, "added", F.when((F.size("added") == 0) | (F.size("base") == 0), F.col("added"))
+                .otherwise(F.flatten(F.transform("added", pieces))))
+    return once(rows, "added", F.when(F.size("added") == 0, F.col("added"))
+                .otherwise(F.filter("added", lambda s: _random(s["value"], table))))
 
 
 def _joined(spans: Column) -> Column:

@@ -142,42 +142,60 @@ def _manifest(name: str, n: int) -> pa.RecordBatch:
 
 
 class _Inflated:
-    """The bytes of a gzip file (of one member or more) as a stream."""
+    """The bytes of a gzip file (of one member or more) as a stream. Input is
+    inflated ``CHUNK`` bytes of output at a time, so a highly compressed payload
+    takes no more memory than another; consumed bytes are cut off once a chunk,
+    so the work grows with the file and not with its records."""
 
     def __init__(self, source):
-        self.source, self.inflate, self.buffer = source, zlib.decompressobj(31), b""
+        self.source, self.inflate = source, zlib.decompressobj(31)
+        self.buffer, self.at, self.pending = bytearray(), 0, b""
+        self.largest = 0
 
     def _more(self) -> bool:
-        data = self.inflate.unused_data or self.source.read(CHUNK)
-        if self.inflate.eof:
-            if not data:
-                return False
-            self.inflate = zlib.decompressobj(31)
-        elif not data:
-            if self.inflate.unconsumed_tail or self.buffer:
-                raise ValueError("archive ends inside a gzip member")
-            return False
-        self.buffer += self.inflate.decompress(data)
-        return True
+        """Inflate up to CHUNK more bytes; False at the end of the file."""
+        while True:
+            if self.inflate.eof:
+                self.pending = self.inflate.unused_data or self.source.read(CHUNK)
+                if not self.pending:
+                    return False
+                self.inflate = zlib.decompressobj(31)
+            elif not self.pending:
+                self.pending = self.source.read(CHUNK)
+                if not self.pending:
+                    if self.at < len(self.buffer) or not self.inflate.eof:
+                        raise ValueError("archive ends inside a gzip member")
+                    return False
+            got = self.inflate.decompress(self.pending, CHUNK)
+            self.pending = b"" if self.inflate.eof else self.inflate.unconsumed_tail
+            if got:
+                if self.at:
+                    del self.buffer[:self.at]
+                    self.at = 0
+                self.buffer += got
+                self.largest = max(self.largest, len(self.buffer))
+                return True
 
     def until(self, mark: bytes) -> bytes | None:
         """Bytes up to and with ``mark``; None at the end of the file."""
-        at = 0
-        while (i := self.buffer.find(mark, at)) < 0:
-            at = max(0, len(self.buffer) - len(mark) + 1)
+        seen = 0                                    # bytes behind ``at`` that hold no mark
+        while (i := self.buffer.find(mark, self.at + seen)) < 0:
+            seen = max(0, len(self.buffer) - self.at - len(mark) + 1)
             if not self._more():
-                if self.buffer:
+                if self.at < len(self.buffer):
                     raise ValueError("archive ends inside a record")
                 return None
         i += len(mark)
-        out, self.buffer = self.buffer[:i], self.buffer[i:]
+        out = bytes(self.buffer[self.at:i])
+        self.at = i
         return out
 
     def exactly(self, n: int) -> Iterator[bytes]:
         while n:
-            if not self.buffer and not self._more():
+            if self.at == len(self.buffer) and not self._more():
                 raise ValueError("archive ends inside a record")
-            out, self.buffer = self.buffer[:n], self.buffer[n:]
+            out = bytes(self.buffer[self.at:self.at + min(n, CHUNK)])
+            self.at += len(out)
             n -= len(out)
             yield out
 

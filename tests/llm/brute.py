@@ -116,10 +116,12 @@ def base_spans(text):
 def all_spans(text, model, alphabet, threshold):
     t, base = text or "", base_spans(text)
     out = list(base)
-    for m in re.finditer("[A-Za-z0-9+/_-]{20,}", t):
-        if not any(a < m.end() and m.start() < b for a, _, b in base):
-            if ratio(m[0], model, alphabet) >= threshold * (len(m[0]) - 1):
-                out.append((m.start(), 3, m.end()))
+    free = list(t)
+    for a, _, b in base:
+        free[a:b] = " " * (b - a)
+    for m in re.finditer("[A-Za-z0-9+/_-]{20,}", "".join(free)):
+        if ratio(m[0], model, alphabet) >= threshold * (len(m[0]) - 1):
+            out.append((m.start(), 3, m.end()))
     return sorted(out)
 
 

@@ -1,7 +1,9 @@
 """Language and quality models (held-out accuracy), BPE (against tiktoken),
 WARC (round trip)."""
 import gzip
+import io
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -167,6 +169,35 @@ def test_warc_round_trip(spark, tmp_path, monkeypatch):
         assert d.eof and not d.unused_data       # one member
 
 
+def test_warc_reading_is_linear_and_bounded():
+    """Many small records in one archive: work in proportion to its size. A
+    payload that inflates a thousandfold: a few MB of buffer."""
+    import hashlib
+    import time
+
+    def archive(n):
+        gz = zlib.compressobj(4, zlib.DEFLATED, 31)
+        parts = []
+        for i in range(n):
+            p = b"%d " % i * 90
+            parts.append(gz.compress(W.record(i, f"http://x/{i}", p, hashlib.sha256(p).hexdigest(), "response", None)))
+        return b"".join([*parts, gz.flush()])
+
+    def read(data):
+        began, s, n = time.process_time(), W._Inflated(io.BytesIO(data)), 0
+        while (h := s.until(b"\r\n\r\n")) is not None:
+            n += bool(sum(map(len, s.exactly(int(W.headers(h)["Content-Length"]) + 4))))
+        assert s.largest < 3 << 20
+        return n, time.process_time() - began
+
+    small, large = read(archive(5_000)), read(archive(50_000))
+    assert (small[0], large[0]) == (5_000, 50_000)
+    assert large[1] < 30 * max(small[1], 0.05)          # ten times the records; 100 times the work if quadratic
+    gz = zlib.compressobj(9, zlib.DEFLATED, 31)
+    data = gz.compress(W.record(1, None, b"a" * 100_000_000, "x", "response", None)) + gz.flush()
+    assert len(data) < 200_000 and read(data)[0] == 1
+
+
 def test_warc_empty(spark, tmp_path):
     none = pages(spark, [(1, "u", "x")]).where("page_id = 2")
     assert W.archive_round_trip(none, folder=str(tmp_path / "w")).collect() == []
