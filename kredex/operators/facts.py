@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .skew import ROWS_PER_TASK
+
 LOAN = "jts_oid"
 
 
@@ -243,15 +245,13 @@ def collateral_value(relacion: DataFrame, garantias: DataFrame,
 # Collateral description per loan.
 # --------------------------------------------------------------------------
 
-def collateral_text(texts: DataFrame, sep: str = "; ") -> DataFrame:
+def collateral_text(texts: DataFrame, sep: str = "; ", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Per loan number: collateral descriptions joined by ``sep`` in
-    (order, description) order. Loans without collateral have no row; the
-    report shows '' for them."""
-    if any(ch in sep for ch in "'\\"):
-        raise ValueError("the separator may not contain quotes or backslashes")
-    return (texts.groupBy("nro_prestamo")
-            .agg(F.expr(f"listagg(descripcion, '{sep}') within group "
-                        f"(order by orden, descripcion)").alias("collateral_description")))
+    (order, description) order, a loan with very many of them in ranges
+    (``ordered_text.py``). Loans without collateral have no row; the report shows
+    '' for them."""
+    from .ordered_text import ordered_concat
+    return ordered_concat(texts, "nro_prestamo", "orden", "descripcion", sep, "collateral_description", rows_per_task)
 
 
 # --------------------------------------------------------------------------
