@@ -161,7 +161,7 @@ def _table(model: list[int]) -> Column:
 
 
 def _random(token: Column, table: Column) -> Column:
-    return _ratio(token, table) >= THRESHOLD * (F.length(token) - 1)
+    return _ratio(token, table) >= F.lit(THRESHOLD).cast("long") * (F.length(token) - 1)
 
 
 def _running_max(values: Column) -> Column:
