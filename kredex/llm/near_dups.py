@@ -249,28 +249,37 @@ def _checked(pairs: DataFrame, sets: DataFrame, texts_of) -> DataFrame | None:
     return _verify(pairs, stored(texts_of(needed)))
 
 
+def _closing_candidates(rows: DataFrame, block: int) -> DataFrame:
+    """All pairs of a still-mixed bucket that can have different labels: each
+    member outside the bucket's largest label against every member. A late
+    label in a bucket of many copies costs as many pairs as the bucket has
+    members, not their square. Both sides are cut into blocks, and each pair of
+    blocks is one join key, so that no task holds a large bucket."""
+    label = (rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("m"))
+             .groupBy("bucket").agg(F.max(F.struct("m", "label")).alias("top"), F.sum("m").alias("all")))
+    label = stored(label.select("bucket", F.col("top.label").alias("major"),
+                                F.ceil((F.col("all") - F.col("top.m")) / block).cast("int").alias("ki"),
+                                F.ceil(F.col("all") / block).cast("int").alias("kj")))
+    rows = rows.select("bucket", "node", "label").join(label, "bucket")
+    own = F.xxhash64("node", F.lit("block"))
+    minor = (rows.where("label <> major").withColumn("i", F.pmod(own, "ki").cast("int"))
+             .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("kj") - 1))))
+    every = (rows.withColumn("j", F.pmod(own, "kj").cast("int"))
+             .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ki") - 1))))
+    side = lambda d, x: d.select("bucket", "i", "j", F.col("node").alias(x), F.col("label").alias(f"{x}_label"))
+    return side(minor, "p").join(side(every, "q"), ["bucket", "i", "j"]).where("p_label <> q_label")
+
+
 def _closing_pairs(rows: DataFrame, sets: DataFrame, block: int) -> DataFrame:
-    """The pairs with different labels of each still-mixed bucket whose
-    sketches agree. A bucket of n members is cut into k = ceil(n / block)
-    blocks, and each unordered pair of blocks is one join key, so that no task
-    holds a large bucket; the sketches are tested inside the join."""
-    k = F.ceil(F.col("size") / block).cast("int")
-    own = F.pmod(F.xxhash64("node", F.lit("block")), k).cast("int")
-    spread = (rows.join(sets, "node").withColumn("k", k).withColumn("own", own)
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-              .select("bucket", "node", "label", "n", "sketch", F.least("own", "other").alias("i"),
-                      F.greatest("own", "other").alias("j"), "own"))
-    a, b = spread.alias("p"), spread.alias("q")
-    at = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("bucket", "i", "j")]
-    across = ((F.col("p.own") != F.col("q.own")) | (F.col("p.i") == F.col("p.j")))
-    return (a.join(b, [*at, F.col("p.node") < F.col("q.node"), F.col("p.label") != F.col("q.label"),
-                       across, may_link("p.", "q.")])
-            .select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct())
+    """The pairs with different labels of each still-mixed bucket, in one
+    order; their sketches are tested next."""
+    return (_closing_candidates(rows, block)
+            .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct())
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                    block: int = BLOCK) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, kept (and the class key)."""
+def _grouped(docs: DataFrame, doc_id: str, text: str, block: int) -> DataFrame:
+    """Per document: doc_id, digest, n_shingles, label of its group (null
+    without words) and the group's component_id."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), _digest(text).alias("digest"))
     signed = stored(map_texts(source, "text", ["doc_id", "digest"], SIGNED, _signer))
     nodes = stored(signed.where("key is not null").groupBy("key")
@@ -287,8 +296,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     labels = _link(nodes, texts_of, block)
     rows = _labelled(nodes.select("key", "node", "least_id"), labels)
     least = stored(rows.groupBy("label").agg(F.min("least_id").alias("component_id")))
-    classes = stored(rows.join(least, "label").select("key", "component_id"))
-    return (signed.join(classes, "key", "left")
+    classes = stored(rows.join(least, "label").select("key", "label", "component_id"))
+    return signed.select("doc_id", "digest", "n_shingles", "key").join(classes, "key", "left")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                    block: int = BLOCK) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id, kept (and the text's
+    digest)."""
+    return (_grouped(docs, doc_id, text, block)
             .select("doc_id", "n_shingles",
                     F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
                     "digest")
@@ -301,26 +317,28 @@ def _digest(text: str) -> Column:
     return F.expr(f"substring(unhex(sha2(coalesce(cast(`{text}` as binary), cast('' as binary)), 256)), 1, 16)")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group, with all columns; rows that repeat an id
-    and its text are one document. Texts without words all stay. Only rows
-    whose text is dropped somewhere, or occurs more than once, are joined with
-    the verdicts; the others pass in place."""
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
+    """One document of each group, with all columns: the smallest id (a null
+    id is the last), of texts that share it the smallest digest; of rows that
+    repeat both, one. Texts without words all stay. Only rows whose text is
+    dropped somewhere, or occurs more than once, are joined with the verdicts;
+    the others pass in place."""
     cols = docs.columns
     at = f"c{cols.index(doc_id)}"
     back = [F.col(f"c{i}").alias(c) for i, c in enumerate(cols)]
-    verdict = stored(near_duplicates(docs, doc_id, text).where("n_shingles > 0")
-                     .groupBy("digest", F.col("doc_id").alias("id"))
-                     .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")))
-    judged = stored(verdict.groupBy("digest").agg(F.min("kept").alias("all_kept"), F.sum("n").alias("n"))
-                    .where("n > 1 or not all_kept").select("digest"))
+    seen = stored(_grouped(docs, doc_id, text, block).where("n_shingles > 0")
+                  .groupBy("label", "digest", F.col("doc_id").alias("id")).agg(F.count(F.lit(1)).alias("n")))
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "digest")).alias("best")
+    best = stored(seen.groupBy("label").agg(first, F.sum("n").alias("n")).where("n > 1")
+                  .select("label", F.col("best.id").alias("best_id"), F.col("best.digest").alias("best_digest")))
+    # a group of one row keeps it; all texts of larger groups are judged
+    judged = stored(seen.join(best.select("label"), "label").select("digest").distinct())
     held = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)], _digest(text).alias("digest"))
     held = marked_likely(held, judged, "digest")
     others = held.where("not __likely")
     # rows that only share a bit with a judged text pass too
     asked = held.where("__likely").join(judged.withColumn("judged", F.lit(True)), "digest", "left")
-    kept = verdict.where("kept").select(F.col("digest").alias("d"), "id")
-    best = (asked.where("judged").join(kept, (F.col("digest") == F.col("d")) & F.col(at).eqNullSafe(F.col("id")), "left_semi")
+    kept = (asked.where("judged").join(best, (F.col("digest") == F.col("best_digest")) & F.col(at).eqNullSafe(F.col("best_id")), "left_semi")
             .dropDuplicates(["digest", at]))
     return (others.select(*back).unionByName(asked.where("judged is null").select(*back))
-            .unionByName(best.select(*back)))
+            .unionByName(kept.select(*back)))

@@ -299,7 +299,9 @@ def train(docs: DataFrame, labels: DataFrame, cost: np.ndarray, doc_id: str = "d
         return Scorer({}, 35.0 * (1 if counts.get(1) else -1) if counts else 0.0)
     share = {y: min(1.0, MOST_LABELS / n) for y, n in counts.items()}
     point = F.pmod(F.xxhash64("i", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    picked = rows.where(point < F.when(F.col("y") == 1, F.lit(share[1])).otherwise(F.lit(share[0])))
+    of_label = F.when(F.col("y") == 1, F.lit(share[1])).otherwise(F.lit(share[0]))
+    # the bound holds for any input: rows are cut by the hash that picks them
+    picked = stored(rows.withColumn("p", point).where(F.col("p") < of_label).orderBy("p", "i", "y").limit(4 * MOST_LABELS))
     texts = likely_in(docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")), picked, "i").join(picked, "i")
 
     def make():
@@ -311,7 +313,8 @@ def train(docs: DataFrame, labels: DataFrame, cost: np.ndarray, doc_id: str = "d
 
         return run
 
-    sample = stored(map_texts(texts, "t", ["i", "y"], "copies array<long>, w array<binary>", make))
+    sample = stored(map_texts(texts, "t", ["i", "y", "p"], "copies array<long>, w array<binary>", make)
+                    .orderBy("p", "i", "y", "w").limit(8 * MOST_LABELS))
     sample = sample.withColumn("row", F.monotonically_increasing_id())
     keys = sample.select("row", F.posexplode("copies").alias("k", "key"))
     often = keys.join(keys.groupBy("k", "key").agg(F.count(F.lit(1)).alias("m")), ["k", "key"])

@@ -19,6 +19,20 @@ def lower(text):
 
 
 def near_dups(rows):
+    sets, group = near_groups(rows)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None and sets[i]:
+            least[group[i]] = min(d, least.get(group[i], d))
+    out = set()
+    for i, (d, _) in enumerate(rows):
+        c = least.get(group[i]) if sets[i] else d
+        out.add((d, len(sets[i]), c, d == c))
+    return out
+
+
+def near_groups(rows):
+    """Shingle sets and the group of each row."""
     sets = []
     for _, t in rows:
         w = words(lower(t))
@@ -34,15 +48,7 @@ def near_dups(rows):
         for j in range(i):
             if a and sets[j] and 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
                 group[find(i)] = find(j)
-    least = {}
-    for i, (d, _) in enumerate(rows):
-        if d is not None and sets[i]:
-            least[find(i)] = min(d, least.get(find(i), d))
-    out = set()
-    for i, (d, _) in enumerate(rows):
-        c = least.get(find(i)) if sets[i] else d
-        out.add((d, len(sets[i]), c, d == c))
-    return out
+    return sets, [find(i) for i in range(len(rows))]
 
 
 def sha(text):

@@ -5,6 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import numpy as np
+import pytest
+
 import brute
 from kredex.llm import decontaminate as D
 from kredex.llm import host_rules as H
@@ -45,8 +48,14 @@ def test_shrinkage_is_a_beta_posterior(make_docs):
     rows = [(i, "bad" if i % 4 == 0 else "w " * 12, "en", f"h{i % 7}") for i in range(70)]
     base = H.base_counts(make_docs(rows).select("doc_id", "source", "text"), ["doc_id", "source"])
     rates = H.host_rates(base, "source").collect()
-    prior = {round((r.rate * (r.n_docs + 1) - r.n_failed), 6) for r in rates}
-    assert all(0 < r.rate < 1 for r in rates) and prior
+    # fitted by moments: mean and weight of the prior, then each host's posterior mean
+    share = [r.n_failed / r.n_docs for r in rates]
+    m, inv = np.mean(share), np.mean([1 / r.n_docs for r in rates])
+    var = np.var(share, ddof=1)
+    w = max(m * (1 - m) / max(var - m * (1 - m) * inv, var * 0.01) - 1, 1e-3)
+    assert len(rates) == 7 and 0 < m < 1 and w > 1
+    for r in rates:
+        assert r.rate == pytest.approx((r.n_failed + m * w) / (r.n_docs + w), rel=1e-9)
 
 
 # ---- decontamination
