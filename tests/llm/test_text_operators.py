@@ -2,7 +2,6 @@
 plain versions, with edge cases."""
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 import numpy as np
@@ -45,7 +44,8 @@ def test_host_verdicts(make_docs, no_docs):
 
 
 def test_shrinkage_is_a_beta_posterior(make_docs):
-    rows = [(i, "bad" if i % 4 == 0 else "w " * 12, "en", f"h{i % 7}") for i in range(70)]
+    good = "one two three four five six seven eight nine ten eleven"
+    rows = [(i, "bad" if i // 7 < i % 7 + 2 else good, "en", f"h{i % 7}") for i in range(70)]
     base = H.base_counts(make_docs(rows).select("doc_id", "source", "text"), ["doc_id", "source"])
     rates = H.host_rates(base, "source").collect()
     # fitted by moments: mean and weight of the prior, then each host's posterior mean
