@@ -67,10 +67,12 @@ def schedule_facts(plan_pagos: DataFrame, cutoff: Column) -> DataFrame:
     # instalment are a plain min and max; a NULL amount gives way to others of
     # its date
     place = instant(due).cast("decimal(18,0)") * F.expr(f"cast({AMOUNTS} as decimal(20,0))")
-    cents = (amount * 100).cast("decimal(18,0)") + ZERO_AMOUNT
-    first = F.min(_when(pending, place + F.coalesce(cents, F.lit(NO_AMOUNT_LAST))))
-    last = F.max(_when(pending, place + F.coalesce(cents, F.lit(0))))
-    facts = (valid(plan_pagos).groupBy(F.col("saldo_jts_oid").alias(LOAN))
+    cents = ((amount * 100).cast("bigint") + ZERO_AMOUNT).cast("decimal(20,0)")
+    first = F.min(F.col("place") + F.coalesce("cents", F.lit(NO_AMOUNT_LAST).cast("decimal(20,0)")))
+    last = F.max(F.col("place") + F.coalesce("cents", F.lit(0).cast("decimal(20,0)")))
+    rows = valid(plan_pagos).select("saldo_jts_oid", "c2302", "c2309", "c2310", _when(pending, place).alias("place"),
+                                    _when(pending, cents).alias("cents"))
+    facts = (rows.groupBy(F.col("saldo_jts_oid").alias(LOAN))
              .agg(F.max(due).alias("max_due"),
                   F.sum(_when(cap & (due >= cutoff), "c2309")).alias("principal_current"),
                   F.sum(_when(cap & overdue, "c2309")).alias("principal_overdue"),
@@ -123,19 +125,20 @@ def history_facts(historia: DataFrame) -> DataFrame:
 
     Latest = greatest (value date, movement id).
     """
-    h = valid(historia)
-    kind = F.col("tipomov")
-    pay = kind == "P"
-    disb = kind.isin("A", "I")
-    spread = F.col("tasamora") - F.col("tasainteres")
-    interest = pay & (F.col("interespagado") > 0)
-    rate_cand = disb | ((kind == "S") & (F.col("tasainteres") > 0))
-    spread_cand = disb | ((kind == "S") & (spread > 0))
+    # the kind is compared once a row, by its column's collation
+    code = F.when(F.col("tipomov") == "P", 1).when(F.col("tipomov").isin("A", "I"), 2).when(F.col("tipomov") == "S", 3)
     # (value date, movement id) as one number: a flat key keeps the aggregate a
     # hash aggregate, a NULL of either ranks below every value
     movement = F.coalesce(F.col("movimiento").cast("bigint"), F.lit(-(1 << 63)))
     order = (instant(F.col("fechavalor")).cast("decimal(18,0)") * F.expr(f"cast({1 << 64} as decimal(20,0))")
              + movement.cast("decimal(20,0)") + F.expr(f"cast({1 << 63} as decimal(20,0))"))
+    h = (valid(historia).withColumn("kind", code)
+         .select("saldos_jts_oid", "kind", "fechavalor", "interespagado", "capitalpagado", "tasainteres",
+                 (F.col("tasamora") - F.col("tasainteres")).alias("spread"), _when(F.col("kind") > 1, order).alias("place")))
+    pay, disb, spread = F.col("kind") == 1, F.col("kind") == 2, F.col("spread")
+    interest = pay & (F.col("interespagado") > 0)
+    rate_cand = disb | ((F.col("kind") == 3) & (F.col("tasainteres") > 0))
+    spread_cand = disb | ((F.col("kind") == 3) & (spread > 0))
     # only interest payments need a date level (the sum of the latest date);
     # all other movements of a loan are one row of the first level
     per_date = (
@@ -145,8 +148,8 @@ def history_facts(historia: DataFrame) -> DataFrame:
              F.max(_when(pay & (F.col("capitalpagado") > 0), "fechavalor")).alias("principal_day"),
              F.count(_when(disb, F.lit(1))).alias("disb_rows"),
              F.max(_when(disb, "tasainteres")).alias("disb_rate"),
-             F.max_by("tasainteres", F.when(rate_cand, order)).alias("rate"),
-             F.max_by(spread, F.when(spread_cand, order)).alias("spread")))
+             F.max_by("tasainteres", _when(rate_cand, "place")).alias("rate"),
+             F.max_by(spread, _when(spread_cand, "place")).alias("spread")))
     day = F.col("paid_on")
     return (
         per_date.groupBy(LOAN)
