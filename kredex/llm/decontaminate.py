@@ -7,6 +7,8 @@ window (every suffix of a benchmark item, cut to the window length) is then
 binary-searched, all at once, one word deeper per round. The intervals found
 are the verbatim occurrences and their locations. The benchmark is the query
 set: the driver reads it in blocks of bounded size and runs one pass per block.
+``longest_matches`` extends each occurrence as far as item and document agree, and
+returns the matches with their places.
 
 Words: A-Z lower-cased, then runs of digits, letters a-z and non-ASCII
 characters. A window is ``window`` consecutive words of an item; an item with
@@ -162,6 +164,102 @@ def _shards(texts: list[bytes], limit: int) -> Iterator[list[bytes]]:
         yield out
 
 
+class Suffixes(Queries):
+    """The test suffixes of one benchmark block: its windows, where in which
+    item each stands, and the items' words."""
+
+    def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
+        super().__init__(items, window)
+        self.names = [name for name, _ in items]
+        ids = [np.array([self.vocabulary[w] for w in words], np.int64) for _, words in items]
+        self.item_start = np.cumsum([0, *[len(x) + 1 for x in ids]])
+        self.text = np.concatenate([*[np.append(x, -1) for x in ids], np.full(1, -1, np.int64)])
+        kinds = {tuple(row[:n]): k for k, (row, n) in enumerate(zip(self.words.tolist(), self.length.tolist()))}
+        kind, place = [], []
+        for x, at in zip(ids, self.item_start.tolist()):
+            v = x.tolist()
+            for i in range(max(1, len(v) - window + 1) if v else 0):
+                kind.append(kinds[tuple(v[i:i + window])])
+                place.append(at + i)
+        order = np.argsort(np.array(kind, np.int64), kind="stable")
+        self.place = np.array(place, np.int64)[order]
+        self.first = np.searchsorted(np.array(kind, np.int64)[order], np.arange(len(self.length) + 1))
+
+
+#: (test suffix, place) pairs extended at once.
+PAIRS_AT_ONCE = 1 << 20
+
+
+def shard_matches(texts: list[bytes], queries: Suffixes) -> Iterator[tuple[int, str, int, int, int]]:
+    """The longest verbatim matches of one shard: (text, item, first word in the
+    item, first word in the text, words). Every test suffix that occurs is
+    extended from each of its places as far as item and text agree; a match that
+    begins one word earlier is reported there."""
+    get, ids, starts = queries.vocabulary.get, [], [0]
+    for t in texts:
+        ids += [np.fromiter((get(w, 0) for w in words_of(t)), np.int64), np.zeros(1, np.int64)]
+        starts.append(starts[-1] + len(ids[-2]) + 1)
+    words = np.concatenate([*ids, np.zeros(queries.window, np.int64)])
+    array = suffix_array(words, queries)
+    lo, hi = search(array, words, queries)
+    starts = np.array(starts)
+    before = np.concatenate([[-2], words])             # the word before a place in the text
+    before[starts[1:]] = -2
+    item_before = np.concatenate([[-3], queries.text])
+    for k in np.flatnonzero(hi > lo).tolist():
+        own = queries.place[queries.first[k]:queries.first[k + 1]]
+        step = max(1, PAIRS_AT_ONCE // len(own))
+        for a in range(int(lo[k]), int(hi[k]), step):
+            at = array[a:min(a + step, int(hi[k]))]
+            i, j = (x.ravel() for x in np.meshgrid(own, at, indexing="ij"))
+            left = (item_before[i] != before[j]) | (before[j] == 0)
+            i, j = i[left], j[left]
+            size = np.full(len(i), int(queries.length[k]), np.int64)
+            live = np.arange(len(i))
+            while len(live):
+                same = queries.text[i[live] + size[live]] == words[j[live] + size[live]]
+                live = live[same]
+                size[live] += 1
+            item = np.searchsorted(queries.item_start, i, side="right") - 1
+            doc = np.searchsorted(starts, j, side="right") - 1
+            for d, m, x, y, n in zip(doc.tolist(), item.tolist(), (i - queries.item_start[item]).tolist(),
+                                     (j - starts[doc]).tolist(), size.tolist()):
+                yield d, queries.names[m], x, y, n
+
+
+MATCH = "array<struct<item:string,item_start:long,start:long,length:long>>"
+
+
+def longest_matches(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text",
+                    item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
+                    block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``keep`` columns, item, item_start, start and length (in words) of every
+    longest verbatim match of at least a window (a shorter item: of the whole
+    item) between a document and a benchmark item. One pass per block."""
+
+    def finder(queries: Suffixes):
+        def make():
+            def find(texts: list[bytes]) -> dict[str, list]:
+                out: list[list] = []
+                for part in _shards(texts, SHARD_WORDS):
+                    got: list[list] = [[] for _ in part]
+                    for d, name, x, y, n in shard_matches(part, queries):
+                        got[d].append({"item": name, "item_start": x, "start": y, "length": n})
+                    out += got
+                return {"matches": out}
+            return find
+        return make
+
+    passes = [map_texts(docs, text, keep, f"matches {MATCH}", finder(Suffixes(block, window)))
+              for block in _blocks(benchmark, item_id, item_text, block_words)]
+    if not passes:
+        return docs.select(*keep, F.array().cast(MATCH).alias("m")).select(*keep, F.explode("m").alias("m")).select(*keep, "m.*")
+    every = passes[0]
+    for p in passes[1:]:
+        every = every.unionByName(p)
+    return every.select(*keep, F.explode("matches").alias("m")).select(*keep, "m.*")
+
+
 def _blocks(benchmark: DataFrame, item_id: str, text: str, limit: int):
     """The items in lists of at most ``limit`` words, one at a time."""
     out, size = [], 0
