@@ -249,9 +249,9 @@ def _checked(pairs: DataFrame, sets: DataFrame, texts_of) -> DataFrame | None:
     return _verify(pairs, stored(texts_of(needed)))
 
 
-def _closing_candidates(rows: DataFrame, block: int) -> DataFrame:
-    """All pairs of a still-mixed bucket that can have different labels: each
-    member outside the bucket's largest label against every member. A late
+def _closing_sides(rows: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join that compares members of a still-mixed bucket:
+    each member outside the bucket's largest label with every member. A late
     label in a bucket of many copies costs as many pairs as the bucket has
     members, not their square. Both sides are cut into blocks, and each pair of
     blocks is one join key, so that no task holds a large bucket."""
@@ -260,21 +260,23 @@ def _closing_candidates(rows: DataFrame, block: int) -> DataFrame:
     label = stored(label.select("bucket", F.col("top.label").alias("major"),
                                 F.ceil((F.col("all") - F.col("top.m")) / block).cast("int").alias("ki"),
                                 F.ceil(F.col("all") / block).cast("int").alias("kj")))
-    rows = rows.select("bucket", "node", "label").join(label, "bucket")
+    rows = rows.join(label, "bucket")
     own = F.xxhash64("node", F.lit("block"))
     minor = (rows.where("label <> major").withColumn("i", F.pmod(own, "ki").cast("int"))
              .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("kj") - 1))))
     every = (rows.withColumn("j", F.pmod(own, "kj").cast("int"))
              .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ki") - 1))))
-    side = lambda d, x: d.select("bucket", "i", "j", F.col("node").alias(x), F.col("label").alias(f"{x}_label"))
-    return side(minor, "p").join(side(every, "q"), ["bucket", "i", "j"]).where("p_label <> q_label")
+    return tuple(d.select("bucket", "i", "j", *[F.col(c).alias(f"{x}_{c}") for c in d.columns if c in ("node", "label", "n", "sketch")])
+                 for d, x in ((minor, "p"), (every, "q")))
 
 
 def _closing_pairs(rows: DataFrame, sets: DataFrame, block: int) -> DataFrame:
-    """The pairs with different labels of each still-mixed bucket, in one
-    order; their sketches are tested next."""
-    return (_closing_candidates(rows, block)
-            .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct())
+    """The pairs with different labels of each still-mixed bucket whose
+    sketches agree; the sketches are tested inside the join."""
+    minor, every = _closing_sides(rows.select("bucket", "node", "label").join(sets, "node"), block)
+    at = [minor[c] == every[c] for c in ("bucket", "i", "j")]
+    return (minor.join(every, [*at, F.col("p_label") != F.col("q_label"), may_link("p_", "q_")])
+            .select(F.least("p_node", "q_node").alias("a"), F.greatest("p_node", "q_node").alias("b")).distinct())
 
 
 def _grouped(docs: DataFrame, doc_id: str, text: str, block: int) -> DataFrame:

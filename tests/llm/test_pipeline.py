@@ -95,10 +95,14 @@ def test_closing_pairs_grow_with_the_bucket(spark):
     from kredex.llm import near_dups
     rows = spark.range(50_000).select(F.lit(5).cast("long").alias("bucket"), F.col("id").alias("node"),
                                       F.when(F.col("id") < 3, F.col("id")).otherwise(F.lit(9)).cast("long").alias("label"))
-    pairs = near_dups._closing_candidates(rows, 2048)
-    assert pairs.count() == 3 * (50_000 - 3) + 3 * 2
+    def compared(rows, block):
+        minor, every = near_dups._closing_sides(rows, block)
+        return minor.join(every, ["bucket", "i", "j"])
+
+    pairs = compared(rows, 2048)
+    assert pairs.count() == 3 * 50_000 and pairs.where("p_label <> q_label").count() == 3 * (50_000 - 3) + 3 * 2
     few = rows.where("node < 40").withColumn("label", F.col("node") % 4)
-    got = {tuple(sorted((r.p, r.q))) for r in near_dups._closing_candidates(few, 7).collect()}
+    got = {tuple(sorted((r.p_node, r.q_node))) for r in compared(few, 7).where("p_label <> q_label").collect()}
     assert got == {(i, j) for i in range(40) for j in range(i + 1, 40) if i % 4 != j % 4}
 
 
