@@ -52,6 +52,28 @@ def test_keep_one(make_docs, edge_docs, no_docs):
         ["1", "2", "3", "5", "6", "7", "8", "9"]
 
 
+def test_keep_one_moves_a_text_once(spark, make_docs):
+    """Whole texts meet the verdicts in one join, also without broadcasts; a
+    second one takes survivors that repeat to their fold."""
+    docs = make_docs([*enumerate(family(6, 20))])
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tree = N.keep_one(docs)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert tree.count("SortMergeJoin") == 2
+
+
+def test_keep_one_folds_only_equal_rows(make_docs):
+    """Rows that repeat id and text give one row; of one text under several
+    ids the smallest stays; rows without words stay as often as they come."""
+    a, lone = family(7, 1)[0], "five words of their own"
+    rows = [(5, a), (5, a), (3, a), (3, a), (None, a), (9, lone), (9, lone), (8, ""), (8, "")]
+    got = sorted((str(r.doc_id), r.text) for r in N.keep_one(make_docs(rows)).collect())
+    assert got == [("3", a), ("8", ""), ("8", ""), ("9", lone)]
+
+
 def test_sketch_never_loses_a_link():
     import numpy as np
     rng = np.random.default_rng(0)
