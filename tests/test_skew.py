@@ -129,3 +129,14 @@ def test_many_hot_keys_and_many_salts(spark):
     assert hot_keys(counts, ["k"], 1).where("_salts = 20").count() == 1000
     out = split_hot_keys(big, per_key, ["k"], "inner", id_cols=["id"], rows_per_task=1)
     assert out.count() == 20000 and out.where("v <> concat('v', k)").count() == 0
+
+
+def test_reasons_cost_no_array_of_all_checks(spark):
+    """The failed checks come sorted, from one text: no lambda runs and nothing
+    is sorted per row."""
+    from kredex.operators import quality
+    df = spark.createDataFrame([(1, "ab", None), (None, "abcd", None), (2, "x", 3)], "b int, a string, c int")
+    out = df.withColumn("reasons", quality.row_reasons(quality.row_checks(df, {"a": 3})))
+    assert [r.reasons for r in out.collect()] == [["null c"], ["length a", "null b", "null c"], []]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "array_sort" not in plan and out.schema["reasons"].dataType.simpleString() == "array<string>"
