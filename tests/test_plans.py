@@ -164,3 +164,15 @@ def test_wide_universe_is_shuffled_once(spark, sf_dir):
     wide = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line
             and "AS analista" in "".join(lines[i + 1:i + 4])]
     assert len(wide) == 1, [lines[i][:200] for i in wide]
+
+
+def test_wide_universe_rows_are_joined_last(spark, sf_dir):
+    """The facts meet the narrow balance rows: no join of a loan fact carries the
+    universe's wide columns. Stages with a method that the JVM would not compile
+    run on projections."""
+    df = E.queries()["portfolio_extract"](spark, sf_dir)
+    plan = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    joins = [line for line in plan if re.search(r"Join (LeftOuter|Inner), \(jts_oid#\d+L? = (jts|saldos?)_", line)]
+    depth = {re.search(r"Join (\w+)", line)[1]: line.index("Join") for line in reversed(joins)}
+    assert depth["Inner"] < depth["LeftOuter"], joins
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
