@@ -269,13 +269,14 @@ def coordinator(loans: DataFrame, miembros: DataFrame, relacion_grupo: DataFrame
     own client, so the loans' (loan, client) pairs meet the members first and
     the relations on (person, client) together: the rows stay linear in the
     members, however many groups one person belongs to. Several rows per loan
-    are possible (the lookup fans out, as in the reference).
+    are possible (the lookup fans out, as in the reference). Trailing blanks of
+    a code never count, on plain columns either.
     """
     rel = (valid(relacion_grupo)
-           .where((F.col("c3201") == "S") & (F.col("c3210") == "AC"))
+           .where((F.rtrim("c3201") == "S") & (F.rtrim("c3210") == "AC"))
            .select("c3198", "c3199"))
     doc = (persona_documento
-           .where((F.col("estado") == "A") & (F.col("principal") == "S"))
+           .where((F.rtrim("estado") == "A") & (F.rtrim("principal") == "S"))
            .select(F.col("idpersona").alias("c3199"), "nrodocumento"))
     of_loan = loans.select(LOAN, F.col("codigo_cliente").alias("c3198"))
     members = miembros.select(F.col("saldo_jts_oid").alias(LOAN), F.col("cod_cliente_m").alias("c3199"))
