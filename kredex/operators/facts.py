@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.collation import padded
 from .skew import ROWS_PER_TASK
 
 LOAN = "jts_oid"
@@ -272,11 +273,11 @@ def coordinator(loans: DataFrame, miembros: DataFrame, relacion_grupo: DataFrame
     are possible (the lookup fans out, as in the reference). Trailing blanks of
     a code never count, on plain columns either.
     """
-    rel = (valid(relacion_grupo)
-           .where((F.rtrim("c3201") == "S") & (F.rtrim("c3210") == "AC"))
+    rel = (padded(valid(relacion_grupo), "c3201", "c3210")
+           .where((F.col("c3201") == "S") & (F.col("c3210") == "AC"))
            .select("c3198", "c3199"))
-    doc = (persona_documento
-           .where((F.rtrim("estado") == "A") & (F.rtrim("principal") == "S"))
+    doc = (padded(persona_documento, "estado", "principal")
+           .where((F.col("estado") == "A") & (F.col("principal") == "S"))
            .select(F.col("idpersona").alias("c3199"), "nrodocumento"))
     of_loan = loans.select(LOAN, F.col("codigo_cliente").alias("c3198"))
     members = miembros.select(F.col("saldo_jts_oid").alias(LOAN), F.col("cod_cliente_m").alias("c3199"))

@@ -16,6 +16,7 @@ from collections.abc import Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Case does not count (the default collation of the source database); case counts.
 CASE_INSENSITIVE = "UTF8_LCASE_RTRIM"
@@ -70,6 +71,13 @@ def collated(name: str, df: DataFrame, collation: str) -> DataFrame:
     return df.withColumns({c: F.collate(F.col(c), collation) for c in have}) if have else df
 
 
+def padded(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with trailing blanks not counting in its plain text ``columns``
+    either; columns that have a collation keep theirs."""
+    plain = [c for c in columns if df.schema[c].dataType == StringType()]
+    return df.withColumns({c: F.collate(F.col(c), CASE_SENSITIVE) for c in plain}) if plain else df
+
+
 class CollatedTables(Mapping):
     """The tables of ``base`` with their coded columns collated."""
 
