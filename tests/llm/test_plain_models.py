@@ -1,6 +1,7 @@
 """The language network and the quality ranker against plain versions."""
 import math
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -105,3 +106,53 @@ def test_samples_do_not_depend_on_the_partitioning(spark, make_docs, monkeypatch
     labels = spark.createDataFrame([(i, i % 2) for i in range(40) for _ in range(9)], "doc_id long, quality int")
     got = [Q.sample(make_docs(rows).repartition(k), labels.repartition(k), "doc_id", "text", "quality") for k in (1, 5)]
     assert len(got[0][1]) == 80 and all((a == b).all() for a, b in zip(*got))
+
+
+def uneven_rows(n=400, seed=11):
+    """Overlapping labels, some rows far out, few of label 0."""
+    rng = np.random.default_rng(seed)
+    y = (np.arange(n) % 7 > 0).astype(int)
+    x = rng.normal(0, 1, (n, len(Q.FEATURES))) * np.linspace(1, 5, len(Q.FEATURES)) + y[:, None] * np.linspace(0, 0.6, len(Q.FEATURES))
+    x[:9] *= 30
+    return x, y
+
+
+def test_ranker_is_at_the_optimum_of_all_pairs():
+    """The gradient of the loss over every pair, none left out, vanishes."""
+    x, y = uneven_rows()
+    model = Q.fit(x, y)
+    s = np.clip((x - x.mean(0)) / (x.std(0) + 1e-6), -8, 8)
+    diff = np.array([s[i] - s[j] for i in np.flatnonzero(y == 1) for j in np.flatnonzero(y == 0)])
+    lose = 1 / (1 + np.exp(diff @ model.weight))
+    assert np.abs((diff * lose[:, None]).mean(0) - Q.L2 * model.weight).max() < 1e-9
+    order, k = np.sort(s @ model.weight), (y == 0).sum()
+    assert model.shift == pytest.approx((order[k - 1] + order[k]) / 2, rel=1e-9)
+    assert model.spread == pytest.approx((s @ model.weight).std() / 2, rel=1e-9)
+
+
+def test_ranker_over_a_table_equals_the_one_in_memory(spark):
+    x, y = uneven_rows()
+    rows = spark.createDataFrame([(v.tolist(), int(k)) for v, k in zip(x, y)], "x array<double>, y int")
+    want = Q.fit(x, y)
+    for parts in (1, 7):
+        got = Q.train(Q.summed_over(rows.repartition(parts)))
+        assert np.allclose(got.weight, want.weight, rtol=1e-6, atol=1e-8)
+        assert [got.shift, got.spread, got.prior] == pytest.approx([want.shift, want.spread, want.prior], rel=1e-6)
+
+
+def test_every_label_row_trains(spark, make_docs, monkeypatch):
+    """No bound on the labelled rows: a label row counts once per document row."""
+    monkeypatch.setattr(Q, "MOST_LABELS", 3)
+    docs = make_docs([(i % 50, f"alpha beta {i}") for i in range(200)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60) for _ in range(3)] + [(1, None), (None, 1), (2, 5)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(Q, "train", lambda summed: seen.append(summed(lambda x, y: {0: np.array([len(y), y.sum()], float)})) or 0.5)
+    assert Q.rank_quality(docs, labels).count() == 200
+    folds = [i for i in range(50) if zlib.crc32(str(i).encode()) % 5]
+    assert seen[0][0].tolist() == [12 * len(folds), 12 * sum(i % 2 for i in folds)]
+
+
+def test_order_statistics():
+    x = np.array([3.0, -0.0, 0.0, -2.5, 1e-300, 3.0, -1e300, 7.25, -2.5])[:, None]
+    got = Q._order_statistics(lambda f: f(x, None), lambda v: v[:, 0], list(range(9)))
+    assert got == sorted(x[:, 0])
