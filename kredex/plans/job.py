@@ -12,7 +12,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 
 from ..params import RunParams
-from ..session import configure
+from ..session import Scope, configure
 from ..sources.collation import CASE_INSENSITIVE, COLLATIONS
 from ..sources.tables import TableSource
 from . import publish as pub
@@ -32,8 +32,9 @@ def run_extract(spark: SparkSession, root: str, out: str, *, tc: Decimal | str |
                           fx_rates=base["tipo_cambio"], tc=tc, collation=collation)
     src = TableSource(spark, root, cutoff=p.cutoff.date(), collation=p.collation)
     # quarantine: an out-of-range decimal rejects its row instead of the job
-    result = build_extract(src, p, with_generated=True, checked=(policy == "quarantine"))
-    pub.publish(result, out, p, policy=policy, reject_path=reject_path)
+    with Scope(spark) as steps:
+        result = build_extract(src, p, with_generated=True, checked=(policy == "quarantine"), scope=steps)
+        pub.publish(result, out, p, policy=policy, reject_path=reject_path)
     if export_path:
         pub.export_text(pub.read_partition(spark, out, p.cutoff, p.version), export_path)
     return p
